@@ -60,7 +60,7 @@ class Family:
     binned: list[str] = field(default_factory=list)
     scope: str = "matrix"
     fills: dict[str, float] = field(default_factory=dict)
-    derived: dict[str, Column] = field(default_factory=dict)
+    derived: dict[str, str] = field(default_factory=dict)
     helpers: list[str] = field(default_factory=list)
     bins: int = 8
 
@@ -165,7 +165,7 @@ BRAND_PROMO = _promo_family("brand", "b", totals=True, extra=_TOP_BRAND)
 USER_MERCHANT = Family(
     # The favourite count of a pair is kept but, unlike the others, not capped.
     takes={"pair": [*_UM_BASE, "um_fav", "um_count"], "user": ["u_total"]},
-    derived={"um_interaction_freq": F.col("um_count") / F.col("u_total")},
+    derived={"um_interaction_freq": "um_count / u_total"},
     helpers=["um_count", "u_total"],
     capped=[*_UM_BASE, "um_interaction_freq"],
     binned=["um_days_between", "um_avg_orders_per_day", *_UM_RATES, "um_interaction_freq"],
@@ -240,7 +240,10 @@ def attach(
 
     joined = _join_grains(matrix, tables)
     derived = {
-        name: expr for f in families for name, expr in f.derived.items() if name not in present
+        name: F.expr(text)
+        for f in families
+        for name, text in f.derived.items()
+        if name not in present
     }
     joined = joined.withColumns(derived) if derived else joined
     joined = joined.drop(*[h for f in families for h in f.helpers if h not in present])
