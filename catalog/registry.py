@@ -99,8 +99,8 @@ BASE = """log as (
 
 
 def check_sql(sql: str, doubles: list[str]) -> str:
-    """``sql`` is either a select or ``ctes :: select``; the base views go in front."""
-    ctes, _, body = sql.rpartition("::")
+    """``sql`` is either a select or ``ctes :: select`` (spaces around the colons); the base views go in front."""
+    ctes, _, body = sql.rpartition(" :: ")
     with_part = BASE + (",\n" + ctes.strip() if ctes.strip() else "")
     if doubles:
         cut = ", ".join(f'round("{c}", {DIGITS}) as "{c}"' for c in doubles)

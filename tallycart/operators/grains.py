@@ -1,10 +1,14 @@
 """One aggregation per grain of the log.
 
-Every function takes the cleaned log and returns one row per key with all that
-grain's columns. A caller that needs a few of them selects those; the rest are
-pruned from the plan. All aggregates combine before the shuffle, and exact
-distinct counts shuffle on (key, value), so a key holding a large part of the
-log never has its rows in one task.
+Every function takes the cleaned log and returns one row per key with that
+grain's columns, or only the ``columns`` asked for.
+
+A grain wants several exact distinct counts next to its action counts. The log is
+laid out as (key, field, value), one row per counted field, and grouped in two
+steps: first to the distinct values of each field, then to the key. The first
+shuffle is on (key, field, value) and the second combines before it, so a key
+holding a large part of the log never has its rows in one task. The narrow layout
+shuffles about half of what several ``count(distinct)`` in one aggregate would.
 """
 
 from __future__ import annotations
@@ -36,26 +40,78 @@ def is_action(name: str) -> Column:
     return F.col("action_type") == name
 
 
-def distinct(column: str | Column, approx: bool = False) -> Column:
-    """Exact distinct count, or a sketch of bounded size when asked for."""
-    return F.approx_count_distinct(column) if approx else F.count_distinct(column)
+def _field_rows(log: DataFrame, keys: list[str], fields: list[str], carrier: str) -> DataFrame:
+    """Distinct (keys, field, value) with action counts on the carrier's rows.
 
-
-def action_counts(prefix: str) -> list[Column]:
-    return [F.count_if(is_action(a)).alias(f"{prefix}_{short}") for short, a in ACTIONS.items()]
+    Every log row has one carrier row, so sums over them count each action once.
+    """
+    numbered = [
+        F.struct(F.lit(i).alias("field"), F.col(c).cast("long").alias("value"))
+        for i, c in enumerate([*fields, carrier])
+    ]
+    carried = F.col("field") == len(fields)
+    return (
+        log.withColumn("day", F.unix_date("dt"))
+        .select(*keys, "action_type", F.inline(F.array(*numbered)))
+        .groupBy(*keys, "field", "value")
+        .agg(
+            *[F.count_if(carried & is_action(a)).alias(short) for short, a in ACTIONS.items()],
+            F.count_if(carried).alias("rows"),
+        )
+    )
 
 
-def promo_counts(prefix: str) -> list[Column]:
-    """Promotion-day and all-time counts per action, and the day's row count."""
-    promo = is_promo_day(F.col("dt"))
-    day = [
-        F.count_if(is_action(a) & promo).alias(f"{prefix}_{name}_1111")
-        for name, a in PROMO_NAMES.items()
-    ]
-    total = [
-        F.count_if(is_action(a)).alias(f"{prefix}_{name}_total") for name, a in PROMO_NAMES.items()
-    ]
-    return [*day, *total, F.count_if(promo).alias("_promo_rows")]
+class _Grain:
+    """The second step of a grain: the expressions over its field rows."""
+
+    def __init__(
+        self,
+        log: DataFrame,
+        keys: list[str],
+        distinct: dict[str, str],
+        columns: list[str] | None,
+        carrier: str = "day",
+    ):
+        wanted = {n: c for n, c in distinct.items() if columns is None or n in columns}
+        fields = [c for c in dict.fromkeys(wanted.values()) if c != carrier]
+        self.keys, self.wanted, self.columns = keys, wanted, columns
+        self.number = {c: i for i, c in enumerate([*fields, carrier])}
+        self.rows = _field_rows(log, keys, fields, carrier)
+        self.on_day = (F.col("field") == len(fields)) & F.col("value").isNotNull()
+
+    def distinct(self) -> list[Column]:
+        known = F.col("value").isNotNull()
+        return [
+            F.count_if((F.col("field") == self.number[c]) & known).alias(name)
+            for name, c in self.wanted.items()
+        ]
+
+    def actions(self, prefix: str) -> list[Column]:
+        return [F.sum(short).alias(f"{prefix}_{short}") for short in ACTIONS]
+
+    def span(self) -> Column:
+        day = F.when(self.on_day, F.col("value"))
+        return F.coalesce(F.max(day) - F.min(day), F.lit(0).cast("long"))
+
+    def promo(self, prefix: str) -> list[Column]:
+        """Promotion-day and all-time counts per action, and the day's row count."""
+        promo = self.on_day & is_promo_day(F.date_from_unix_date(F.col("value").cast("int")))
+        names = dict(zip(PROMO_NAMES, ACTIONS))
+        none = F.lit(0).cast("long")
+        day = [
+            F.sum(F.when(promo, F.col(short)).otherwise(none)).alias(f"{prefix}_{name}_1111")
+            for name, short in names.items()
+        ]
+        total = [F.sum(short).alias(f"{prefix}_{name}_total") for name, short in names.items()]
+        active = F.sum(F.when(promo, F.col("rows")).otherwise(none)).alias("_promo_rows")
+        return [*day, *total, active]
+
+    def table(self, *exprs: Column) -> DataFrame:
+        return self.rows.groupBy(*self.keys).agg(*self.distinct(), *exprs)
+
+    def only(self, grain: DataFrame) -> DataFrame:
+        """The asked-for columns, with the distinct counts that were left out gone."""
+        return grain if self.columns is None else grain.select(*self.keys, *self.columns)
 
 
 def promo_columns(prefix: str, totals: bool) -> list[str]:
@@ -77,25 +133,25 @@ def with_promo_shares(grain: DataFrame, prefix: str) -> DataFrame:
     return grain.withColumns(out).drop("_promo_rows")
 
 
-def span_days() -> Column:
-    return F.coalesce(F.datediff(F.max("dt"), F.min("dt")), F.lit(0)).cast("long")
-
-
-def user_grain(log: DataFrame, approx: bool = False) -> DataFrame:
-    bought_on = F.when(is_action("purchase"), F.col("dt"))
-    grain = log.groupBy("user_id").agg(
-        distinct("item_id", approx).alias("u_iid"),
-        distinct("cat_id", approx).alias("u_cid"),
-        distinct("merchant_id", approx).alias("u_mid"),
-        distinct("brand_id", approx).alias("u_bid"),
-        *action_counts("u"),
-        distinct("dt", approx).alias("u_active_days"),
-        distinct(bought_on, approx).alias("u_purchase_days"),
-        F.count("*").alias("u_total"),
+def user_grain(log: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    counted = {
+        "u_iid": "item_id",
+        "u_cid": "cat_id",
+        "u_mid": "merchant_id",
+        "u_bid": "brand_id",
+        "u_active_days": "day",
+    }
+    g = _Grain(log, ["user_id"], counted, columns)
+    bought = g.on_day & (F.col("purchase") > 0)
+    bought_on = F.when(bought, F.col("value"))
+    grain = g.table(
+        *g.actions("u"),
+        F.count_if(bought).alias("u_purchase_days"),
+        F.sum("rows").alias("u_total"),
         # The gaps between successive purchases add up to last minus first.
-        F.datediff(F.max(bought_on), F.min(bought_on)).alias("_bought_span"),
-        F.count(bought_on).alias("_bought"),
-        *promo_counts("u"),
+        (F.max(bought_on) - F.min(bought_on)).alias("_bought_span"),
+        F.sum(F.when(bought, F.col("purchase"))).alias("_bought"),
+        *g.promo("u"),
     )
     gap = (
         F.when(F.col("_bought") > 1, F.col("_bought_span") / (F.col("_bought") - 1))
@@ -111,19 +167,13 @@ def user_grain(log: DataFrame, approx: bool = False) -> DataFrame:
             "u_purchase_cart_rate": ratio_or_zero(F.col("u_purchase"), F.col("u_cart")),
         }
     ).drop("_bought_span", "_bought")
-    return with_promo_shares(grain, "u")
-
-
-def merchant_grain(log: DataFrame, approx: bool = False) -> DataFrame:
-    grain = log.groupBy("merchant_id").agg(
-        distinct("item_id", approx).alias("m_iid"),
-        distinct("cat_id", approx).alias("m_cid"),
-        distinct("user_id", approx).alias("m_uid"),
-        distinct("brand_id", approx).alias("m_bid"),
-        *action_counts("m"),
-        span_days().alias("m_days_between"),
-        *promo_counts("m"),
-    )
+    return g.only(with_promo_shares(grain, "u"))
+
+
+def merchant_grain(log: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    counted = {"m_iid": "item_id", "m_cid": "cat_id", "m_uid": "user_id", "m_bid": "brand_id"}
+    g = _Grain(log, ["merchant_id"], counted, columns)
+    grain = g.table(*g.actions("m"), g.span().alias("m_days_between"), *g.promo("m"))
     grain = grain.withColumns(
         {
             "m_avg_orders_per_day": ratio_zero_as_one(
@@ -134,20 +184,17 @@ def merchant_grain(log: DataFrame, approx: bool = False) -> DataFrame:
             "m_fav_per_click": ratio_or_zero(F.col("m_fav"), F.col("m_click")),
         }
     )
-    return with_promo_shares(grain, "m")
+    return g.only(with_promo_shares(grain, "m"))
 
 
-def pair_grain(log: DataFrame, approx: bool = False) -> DataFrame:
+def pair_grain(log: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Per (user, merchant). ``um_count`` over the user's ``u_total`` is the share."""
-    grain = log.groupBy("user_id", "merchant_id").agg(
-        distinct("item_id", approx).alias("um_iid"),
-        distinct("cat_id", approx).alias("um_cid"),
-        distinct("brand_id", approx).alias("um_bid"),
-        *action_counts("um"),
-        span_days().alias("um_days_between"),
-        F.count("*").alias("um_count"),
+    counted = {"um_iid": "item_id", "um_cid": "cat_id", "um_bid": "brand_id"}
+    g = _Grain(log, ["user_id", "merchant_id"], counted, columns)
+    grain = g.table(
+        *g.actions("um"), g.span().alias("um_days_between"), F.sum("rows").alias("um_count")
     )
-    return grain.withColumns(
+    grain = grain.withColumns(
         {
             "um_avg_orders_per_day": ratio_zero_as_one(
                 F.col("um_purchase"), F.col("um_days_between")
@@ -156,20 +203,18 @@ def pair_grain(log: DataFrame, approx: bool = False) -> DataFrame:
             "um_fav_per_click": ratio_or_zero(F.col("um_fav"), F.col("um_click")),
         }
     ).drop("um_cart")
+    return g.only(grain)
 
 
 def _attribute_grain(
-    log: DataFrame, key: str, prefix: str, with_users: bool, approx: bool
+    log: DataFrame, key: str, prefix: str, counted: dict[str, str], columns: list[str] | None
 ) -> DataFrame:
-    users = [distinct("user_id", approx).alias(f"{prefix}_unique_users")] if with_users else []
-    grain = log.groupBy(key).agg(
-        *users,
-        distinct("merchant_id", approx).alias(f"{prefix}_unique_merchants"),
-        distinct("item_id", approx).alias(f"{prefix}_unique_items"),
-        F.count_if(is_action("purchase")).alias(f"{prefix}_purchase_count"),
-        span_days().alias(f"{prefix}_days_between"),
-        *action_counts(prefix),
-        *promo_counts(prefix),
+    g = _Grain(log, [key], {f"{prefix}_{n}": c for n, c in counted.items()}, columns)
+    grain = g.table(
+        *g.actions(prefix),
+        F.sum("purchase").alias(f"{prefix}_purchase_count"),
+        g.span().alias(f"{prefix}_days_between"),
+        *g.promo(prefix),
     )
     click = F.col(f"{prefix}_click")
     rates = {
@@ -178,36 +223,38 @@ def _attribute_grain(
     }
     per_day = ratio_if_positive(F.col(f"{prefix}_purchase_count"), F.col(f"{prefix}_days_between"))
     grain = grain.withColumns({f"{prefix}_avg_purchases_per_day": per_day, **rates})
-    return with_promo_shares(grain, prefix)
+    return g.only(with_promo_shares(grain, prefix))
 
 
-def brand_grain(log: DataFrame, approx: bool = False) -> DataFrame:
-    return _attribute_grain(log, "brand_id", "b", False, approx)
+def brand_grain(log: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    counted = {"unique_merchants": "merchant_id", "unique_items": "item_id"}
+    return _attribute_grain(log, "brand_id", "b", counted, columns)
 
 
-def category_grain(log: DataFrame, approx: bool = False) -> DataFrame:
-    return _attribute_grain(log, "cat_id", "c", True, approx)
+def category_grain(log: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    counted = {
+        "unique_users": "user_id",
+        "unique_merchants": "merchant_id",
+        "unique_items": "item_id",
+    }
+    return _attribute_grain(log, "cat_id", "c", counted, columns)
 
 
-def _merchant_by(log: DataFrame, key: str, prefix: str, approx: bool) -> DataFrame:
-    counts = {c: F.count_if(is_action(ACTIONS[c])) for c in ("click", "purchase", "cart", "fav")}
-    grain = log.groupBy("merchant_id", key).agg(
-        distinct("user_id", approx).alias(f"{prefix}_unique_users"),
-        distinct("item_id", approx).alias(f"{prefix}_unique_items"),
-        *[expr.alias(f"{prefix}_{short}") for short, expr in counts.items()],
-        F.count("*").alias("_rows"),
-    )
+def _merchant_by(log: DataFrame, key: str, prefix: str) -> DataFrame:
+    counted = {f"{prefix}_unique_users": "user_id", f"{prefix}_unique_items": "item_id"}
+    g = _Grain(log, ["merchant_id", key], counted, None, carrier="item_id")
+    grain = g.table(*g.actions(prefix), F.sum("rows").alias("_rows"))
     rate = ratio_zero_as_one(F.col(f"{prefix}_purchase"), F.col(f"{prefix}_click"))
     return grain.withColumn(f"{prefix}_purchase_click_rate", rate)
 
 
-def merchant_brand_grain(log: DataFrame, approx: bool = False) -> DataFrame:
+def merchant_brand_grain(log: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Per (merchant, brand); ``_rows`` ranks the brands of a merchant."""
-    return _merchant_by(log, "brand_id", "mb", approx)
+    return _merchant_by(log, "brand_id", "mb")
 
 
-def merchant_category_grain(log: DataFrame, approx: bool = False) -> DataFrame:
-    return _merchant_by(log, "cat_id", "mc", approx)
+def merchant_category_grain(log: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    return _merchant_by(log, "cat_id", "mc")
 
 
 def most_frequent(counts: DataFrame, keys: list[str], value: str, rows: str) -> DataFrame:
@@ -221,11 +268,11 @@ def most_frequent(counts: DataFrame, keys: list[str], value: str, rows: str) ->
     return counts.groupBy(*keys).agg(best).select(*keys, "_best.*")
 
 
-def top_brand_per_pair(log: DataFrame) -> DataFrame:
+def top_brand_per_pair(log: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return _top_per_pair(log, "brand_id", "top_brand_id", "freq_brand")
 
 
-def top_category_per_pair(log: DataFrame) -> DataFrame:
+def top_category_per_pair(log: DataFrame, columns: list[str] | None = None) -> DataFrame:
     return _top_per_pair(log, "cat_id", "top_cat_id", "freq_cat")
 
 

@@ -75,7 +75,7 @@ def recency_frequency(purchases: DataFrame) -> DataFrame:
     )
 
 
-def rfm_and_gaps(log: DataFrame) -> DataFrame:
+def rfm_and_gaps(log: DataFrame, columns: list[str] | None = None) -> DataFrame:
     purchases = log.filter(is_action("purchase"))
     return recency_frequency(purchases).join(gap_stats(purchases), PAIR, "left")
 
@@ -117,7 +117,7 @@ def action_runs(log: DataFrame, first: str = "add-to-cart", then: str = "purchas
     )
 
 
-def cart_purchase_interval(log: DataFrame) -> DataFrame:
+def cart_purchase_interval(log: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Mean days from a cart row to the purchase row right after it, per pair."""
     crosses = (F.col("last_action") == "add-to-cart") & (F.col("next_action") == "purchase")
     return (
@@ -162,7 +162,9 @@ def sessions(log: DataFrame, session_gap: float = 7) -> DataFrame:
     )
 
 
-def user_sessions(log: DataFrame, session_gap: float = 7) -> DataFrame:
+def user_sessions(
+    log: DataFrame, columns: list[str] | None = None, session_gap: float = 7
+) -> DataFrame:
     return (
         sessions(log, session_gap)
         .groupBy("user_id")

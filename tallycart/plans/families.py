@@ -26,7 +26,7 @@ PAIR = ["user_id", "merchant_id"]
 
 @dataclass(frozen=True)
 class Grain:
-    build: Callable[[DataFrame], DataFrame]
+    build: Callable[[DataFrame, list[str]], DataFrame]
     keys: list[str]
     # Matrix columns to join on, where they are called differently.
     on: list[str] | None = None
@@ -216,7 +216,7 @@ def attach(
     matrix: DataFrame,
     log: DataFrame,
     families: list[Family],
-    builders: dict[str, Callable[[DataFrame], DataFrame]] | None = None,
+    builders: dict[str, Callable[[DataFrame, list[str]], DataFrame]] | None = None,
 ) -> DataFrame:
     """Join the families' columns to the pairs, capped and binned.
 
@@ -267,10 +267,10 @@ def _grain_table(
     log: DataFrame,
     name: str,
     columns: list[str],
-    build: Callable[[DataFrame], DataFrame] | None = None,
+    build: Callable[[DataFrame, list[str]], DataFrame] | None = None,
 ) -> DataFrame:
     grain = GRAINS[name]
-    table = (build or grain.build)(log)
+    table = (build or grain.build)(log, columns)
     if grain.pick:
         return table.select(*grain.keys, grain.pick, "_rows", *columns)
     return table.select(*grain.keys, *columns)
@@ -376,8 +376,10 @@ def add_rfm_and_repurchase_features(matrix: DataFrame, log: DataFrame) -> DataFr
 def add_session_features(
     matrix: DataFrame, log: DataFrame, session_gap: float = 7
 ) -> DataFrame:
-    build = {"user_sessions": lambda rows: sequences.user_sessions(rows, session_gap)}
-    return attach(matrix, log, [SESSION], build)
+    def build(rows: DataFrame, columns: list[str]) -> DataFrame:
+        return sequences.user_sessions(rows, columns, session_gap)
+
+    return attach(matrix, log, [SESSION], {"user_sessions": build})
 
 
 def add_cross_features(matrix: DataFrame, log: DataFrame | None = None) -> DataFrame:
