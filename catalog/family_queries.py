@@ -287,7 +287,7 @@ WIDE = f"{FULL_PARTS}, wide as materialized ({FULL_BODY})"
 
 @query(
     "report_ranges",
-    f"""{WIDE} :: {_per_column(FULL_COLUMNS, 'min("{c}")::double as low, max("{c}")::double as high, count("{c}") as filled')}""",
+    f"""{WIDE} :: {_per_column(FULL_COLUMNS, 'cast(min("{c}") as double) as low, cast(max("{c}") as double) as high, count("{c}") as filled')}""",
     ["low", "high"],
 )
 def report_ranges(d: Data):

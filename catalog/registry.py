@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,19 +26,19 @@ class Data:
     def table(self, name: str) -> DataFrame:
         return tables.table(self.spark, self.sf_dir, name)
 
-    @property
+    @cached_property
     def log(self) -> DataFrame:
         return tables.log_view(self.spark, self.sf_dir)
 
-    @property
+    @cached_property
     def users(self) -> DataFrame:
         return tables.users_view(self.spark, self.sf_dir)
 
-    @property
+    @cached_property
     def pairs(self) -> DataFrame:
         return tables.pairs_view(self.log)
 
-    @property
+    @cached_property
     def matrix(self) -> DataFrame:
         return init_matrix(self.pairs, self.users)
 
@@ -47,13 +49,19 @@ def rounded(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c), DIGITS) for c in doubles}) if doubles else df
 
 
-def query(name: str, sql: str | None = None, doubles: list[str] | None = None):
-    """Register ``fn(data)``; ``doubles`` lists the result columns to round in SQL."""
+def query(
+    name: str, sql: str | None = None, doubles: list[str] | None = None, settled: bool = False
+):
+    """Register ``fn(data)``; ``doubles`` lists the result columns to round in SQL.
+
+    ``settled`` results are already cut to a number of digits and stay as they are.
+    """
 
     def register(fn: Callable[[Data], DataFrame]):
         if name in QUERIES:
             raise ValueError(f"query registered twice: {name}")
-        QUERIES[name] = lambda spark, sf_dir: rounded(fn(Data(spark, sf_dir)))
+        finish = (lambda df: df) if settled else rounded
+        QUERIES[name] = lambda spark, sf_dir: finish(fn(Data(spark, sf_dir)))
         if sql is not None:
             CHECKS[name] = check_sql(sql, doubles or [])
         return fn
@@ -100,8 +108,8 @@ BASE = """log as (
 
 def check_sql(sql: str, doubles: list[str]) -> str:
     """``sql`` is either a select or ``ctes :: select`` (spaces around the colons); the base views go in front."""
-    ctes, _, body = sql.rpartition(" :: ")
-    with_part = BASE + (",\n" + ctes.strip() if ctes.strip() else "")
+    *ctes, body = re.split(r"\s::\s", sql)
+    with_part = ",\n".join([BASE, *[c.strip() for c in ctes]])
     if doubles:
         cut = ", ".join(f'round("{c}", {DIGITS}) as "{c}"' for c in doubles)
         body = f"select * replace ({cut}) from (\n{body.strip()}\n)"

@@ -135,13 +135,13 @@ def graph_vectors(
             "kind",
             "id",
             *[
-                F.round(F.coalesce((F.col(c) + F.col(f"_{c}")) / 2, F.col(c)), 9).alias(c)
+                F.coalesce((F.col(c) + F.col(f"_{c}")) / 2, F.col(c)).alias(c)
                 for c in names
             ],
         )
         # The next round reads the vectors twice and restarts from a stored table.
         vectors = moved if round_number == rounds - 1 else stage(moved, "vectors")
-    return vectors
+    return vectors.select("kind", "id", *[F.round(F.col(c), 9).alias(c) for c in names])
 
 
 def bipartite_vectors(

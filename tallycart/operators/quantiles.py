@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 CAP = 0.95
@@ -50,28 +50,32 @@ class Fitted:
     cap: float | None
     edges: tuple[float, ...]
 
-    def capped(self, x: Column) -> Column:
-        x = x.cast("double")
-        return x if self.cap is None else F.when(x > self.cap, F.lit(self.cap)).otherwise(x)
+    def capped(self, column: str) -> str:
+        """SQL text of the capped value."""
+        x = f"cast(`{column}` as double)"
+        if self.cap is None:
+            return x
+        return f"case when {x} > {_number(self.cap)} then {_number(self.cap)} else {x} end"
 
-    def bin(self, x: Column) -> Column:
-        """Number of edges below the value, the first interval closed on both sides.
+    def bin(self, column: str) -> str:
+        """SQL text of the bin: edges below the value, the first interval closed.
 
         Edges equal to the cap bound only the last interval, so the uncapped
         value lands in the same bin as the capped one.
         """
         if len(self.edges) < 2:
-            return F.lit(None).cast("int")
-        x = x.cast("double")
-        inner = self.edges[1:-1]
-        out = F.when(x.isNull(), F.lit(None).cast("int"))
-        for number, edge in enumerate(inner):
-            out = out.when(x <= edge, F.lit(number))
-        return out.otherwise(F.lit(len(inner))).cast("int")
+            return "cast(null as int)"
+        x, inner = f"`{column}`", self.edges[1:-1]
+        steps = " ".join(f"when {x} <= {_number(e)} then {i}" for i, e in enumerate(inner))
+        return f"case when {x} is null then null {steps} else {len(inner)} end"
+
+
+def _number(value: float) -> str:
+    return f"{value!r}D"
 
 
 def _melt(df: DataFrame, columns: list[str]) -> DataFrame:
-    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    doubles = df.selectExpr(*[f"cast(`{c}` as double) as `{c}`" for c in columns])
     return doubles.unpivot([], columns, "name", "x").filter(F.col("x").isNotNull())
 
 
@@ -225,11 +229,9 @@ def apply_fit(
     suffix: str = "_bin",
 ) -> DataFrame:
     """Replace the capped columns and add a bin number for each binned one."""
-    kept = [
-        fitted[c].capped(F.col(c)).alias(c) if c in capped else F.col(c) for c in df.columns
-    ]
-    added = [fitted[c].bin(F.col(c)).alias(f"{c}{suffix}") for c in binned]
-    return df.select(*kept, *added)
+    kept = [f"{fitted[c].capped(c)} as `{c}`" if c in capped else f"`{c}`" for c in df.columns]
+    added = [f"{fitted[c].bin(c)} as `{c}{suffix}`" for c in binned]
+    return df.selectExpr(*kept, *added)
 
 
 def cap_values(df: DataFrame, columns: list[str], percentile: float = 99) -> DataFrame:

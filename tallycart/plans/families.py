@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallycart.operators import grains, quantiles, sequences
-from tallycart.session import stage
+from tallycart.session import stage, stage_all
 
 PAIR = ["user_id", "merchant_id"]
 
@@ -289,9 +289,7 @@ def _finish_entities(
                 todo[grain] = (capped, binned)
     if not todo:
         return tables, []
-    out = dict(tables)
-    for grain in todo:
-        out[grain] = stage(tables[grain], grain)
+    out = {**tables, **stage_all({grain: tables[grain] for grain in todo})}
     fitted = quantiles.fit([(out[g], capped) for g, (capped, _) in todo.items()])
     for grain, (capped, binned) in todo.items():
         done = quantiles.apply_fit(out[grain], fitted, capped, binned)

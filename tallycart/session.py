@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_ROOTS: dict[str, str] = {}
@@ -58,3 +60,14 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stage_all(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Stage several tables at once, so that their short last stages overlap."""
+    if len(tables) < 2:
+        return {name: stage(df, name) for name, df in tables.items()}
+    spark = next(iter(tables.values())).sparkSession
+    run = inheritable_thread_target(spark)(stage)
+    with ThreadPoolExecutor(len(tables)) as pool:
+        done = {name: pool.submit(run, df, name) for name, df in tables.items()}
+        return {name: future.result() for name, future in done.items()}
