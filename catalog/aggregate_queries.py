@@ -9,6 +9,7 @@ from catalog.family_queries import CHECKS as FAMILY
 from catalog.registry import Data, query
 from tallycart.operators import encoding, grains, pruning, quantiles, sequences
 from tallycart.plans import families, matrix as mx
+from tallycart.session import stage
 
 PAIR = ["user_id", "merchant_id"]
 
@@ -292,9 +293,14 @@ U_CORR = " union all ".join(
 )
 
 
+def _user_columns(d: Data):
+    """Stored, because the correlations read it twice: for the means, then the products."""
+    return stage(grains.user_grain(d.log, U_COLUMNS).select(*U_COLUMNS), "user_columns")
+
+
 @query("corr_user_columns", f"raw as materialized ({q.USER_RAW}) :: {U_CORR}", ["corr"])
 def corr_user_columns(d: Data):
-    return pruning.correlations(grains.user_grain(d.log), U_COLUMNS)
+    return pruning.correlations(_user_columns(d), U_COLUMNS)
 
 
 @query(
@@ -304,8 +310,7 @@ def corr_user_columns(d: Data):
     select distinct feature from c join names using (j) where abs(corr) > 0.85""",
 )
 def prune_correlated(d: Data):
-    columns = grains.user_grain(d.log).select(*U_COLUMNS)
-    to_drop, _ = pruning.drop_high_corr_features(columns)
+    to_drop, _ = pruning.drop_high_corr_features(_user_columns(d))
     return d.spark.createDataFrame([(c,) for c in to_drop], "feature string")
 
 

@@ -7,7 +7,6 @@ from catalog.registry import Data, query
 from tallycart.operators import pruning
 from tallycart.plans import families as fam
 from tallycart.plans import runs
-from tallycart.session import stage
 
 KEYS = ["user_id", "merchant_id"]
 MATRIX = ["user_id", "merchant_id", "origin", "label", "age_range", "gender"]
@@ -256,10 +255,7 @@ def matrix_short(d: Data):
 
 
 def full(d: Data):
-    log = stage(d.log, "log")
-    from tallycart.sources.tables import pairs_view
-
-    return runs.feature_matrix(runs.Inputs(log, pairs_view(log), d.users))
+    return runs.feature_matrix(runs.Inputs(d.log, d.pairs, d.users))
 
 
 FULL_PARTS, FULL_BODY, FULL_DOUBLES = combined(FULL, dropped=("M",))

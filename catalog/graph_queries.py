@@ -8,8 +8,6 @@ from catalog import sql as q
 from catalog.registry import Data, query
 from tallycart.operators import graph, models
 from tallycart.plans import families, graph_features, runs
-from tallycart.session import stage
-from tallycart.sources.tables import pairs_view
 
 PAIR = ["user_id", "merchant_id"]
 V = [f"v{i}" for i in range(graph.DIM)]
@@ -196,9 +194,7 @@ def model_auc(d: Data):
 
 def _profile_and_recency(d: Data):
     """What the stacked models see in the full run."""
-    log = stage(d.log, "log")
-    matrix = runs.init_matrix(pairs_view(log), d.users)
-    return families.add_rfm_and_repurchase_features(matrix, log).drop("M")
+    return families.add_rfm_and_repurchase_features(d.matrix, d.log).drop("M")
 
 
 # Few, shallow trees: the shape of the work is the same, and it fits a test run.
@@ -211,8 +207,7 @@ def family_model_ensemble(d: Data):
 
 
 def _trained(d: Data, use_kfold: bool = False) -> models.RepurchaseModel:
-    log = stage(d.log, "log")
-    inputs = runs.Inputs(log, pairs_view(log), d.users)
+    inputs = runs.Inputs(d.log, d.pairs, d.users)
     params = models.BoostParams(depth=DEPTH)
     model = models.RepurchaseModel(runs.short_matrix(inputs), params)
     return model.train_model(use_kfold, num_boost_round=ROUNDS)

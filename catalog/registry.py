@@ -10,13 +10,37 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallycart.plans.matrix import init_matrix
+from tallycart.session import stage
 from tallycart.sources import tables
 
 DIGITS = 6
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+# The same queries without the rounding that only the comparison needs.
+UNROUNDED: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
 
 
+_INGESTED: dict[tuple[str, str], tuple[DataFrame, DataFrame]] = {}
+
+
+def ingested(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The log and the pairs as stored tables, written once per application.
+
+    The log is a three-way join over the test tables; the features scan it many
+    times, each time another few columns.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _INGESTED:
+        log = stage(tables.log_view(spark, sf_dir), "log")
+        _INGESTED[key] = (log, stage(tables.pairs_view(log), "pairs"))
+    return _INGESTED[key]
+
+
+def forget(spark: SparkSession, sf_dir: str) -> None:
+    """Have the next query ingest the tables again."""
+    _INGESTED.pop((spark.sparkContext.applicationId, sf_dir), None)
+
+
 class Data:
     """The test tables as log, users, pairs and matrix."""
 
@@ -26,18 +50,18 @@ class Data:
     def table(self, name: str) -> DataFrame:
         return tables.table(self.spark, self.sf_dir, name)
 
-    @cached_property
+    @property
     def log(self) -> DataFrame:
-        return tables.log_view(self.spark, self.sf_dir)
+        return ingested(self.spark, self.sf_dir)[0]
+
+    @property
+    def pairs(self) -> DataFrame:
+        return ingested(self.spark, self.sf_dir)[1]
 
     @cached_property
     def users(self) -> DataFrame:
         return tables.users_view(self.spark, self.sf_dir)
 
-    @cached_property
-    def pairs(self) -> DataFrame:
-        return tables.pairs_view(self.log)
-
     @cached_property
     def matrix(self) -> DataFrame:
         return init_matrix(self.pairs, self.users)
@@ -61,6 +85,7 @@ def query(
         if name in QUERIES:
             raise ValueError(f"query registered twice: {name}")
         finish = (lambda df: df) if settled else rounded
+        UNROUNDED[name] = lambda spark, sf_dir: fn(Data(spark, sf_dir))
         QUERIES[name] = lambda spark, sf_dir: finish(fn(Data(spark, sf_dir)))
         if sql is not None:
             CHECKS[name] = check_sql(sql, doubles or [])

@@ -82,6 +82,19 @@ def reversed_edges(edges: DataFrame) -> DataFrame:
     )
 
 
+def edge_nodes(edges: DataFrame) -> DataFrame:
+    """The nodes that edges touch; smaller to read than the log they come from."""
+    ends = edges.select(
+        F.inline(
+            F.array(
+                F.struct(F.col("src_kind").alias("kind"), F.col("src").alias("id")),
+                F.struct(F.col("dst_kind").alias("kind"), F.col("dst").alias("id")),
+            )
+        )
+    )
+    return ends.distinct()
+
+
 def _components(dim: int) -> list[str]:
     return [f"v{i}" for i in range(dim)]
 
@@ -105,28 +118,29 @@ def start_vectors(points: DataFrame, dim: int = DIM) -> DataFrame:
 def neighbour_mean(vectors: DataFrame, edges: DataFrame, dim: int = DIM) -> DataFrame:
     """Weighted mean over the neighbours of a relation, then over relations.
 
-    Only nodes with incoming edges appear.
+    Only nodes with incoming edges appear. Every edge finds its source's vector, so
+    the left join loses and adds nothing; it keeps the long edge table on the
+    streamed side, where a frequent source can be split.
     """
     names = _components(dim)
     source = vectors.withColumnsRenamed({"kind": "src_kind", "id": "src"})
     weight = F.sum("weight").cast("double")
     per_relation = (
-        edges.join(source, ["src_kind", "src"])
+        edges.join(source, ["src_kind", "src"], "left")
         .groupBy("dst_kind", "dst", "src_kind", "relation")
         .agg(*[(F.sum(F.col(c) * F.col("weight")) / weight).alias(c) for c in names])
     )
     return per_relation.groupBy("dst_kind", "dst").agg(*[F.avg(c).alias(c) for c in names])
 
 
-def graph_vectors(
-    vectors: DataFrame, edges: DataFrame, dim: int = DIM, rounds: int = 2
-) -> DataFrame:
+def graph_vectors(edges: DataFrame, dim: int = DIM, rounds: int = 2) -> DataFrame:
     """Each round a node moves half way to its neighbours' mean; others stay.
 
     Results are cut to 9 digits: sums of doubles depend on their order beyond that.
     """
     names = _components(dim)
     edges = stage(edges, "edges")
+    vectors = start_vectors(edge_nodes(edges), dim)
     for round_number in range(rounds):
         heard = neighbour_mean(vectors, edges, dim).withColumnsRenamed(
             {"dst_kind": "kind", "dst": "id", **{c: f"_{c}" for c in names}}
@@ -150,8 +164,7 @@ def bipartite_vectors(
     edges = pair_edges(log)
     if both_directions:
         edges = edges.unionByName(reversed_edges(edges))
-    points = nodes(log, ["user", "merchant"])
-    return graph_vectors(start_vectors(points, dim), edges, dim, rounds)
+    return graph_vectors(edges, dim, rounds)
 
 
 def mixed_vectors(
@@ -161,8 +174,7 @@ def mixed_vectors(
     if both_directions:
         edges = edges.unionByName(reversed_edges(edges))
     edges = edges.unionByName(self_loops(log))
-    points = nodes(log, list(NODE_IDS))
-    return graph_vectors(start_vectors(points, dim), edges, dim, rounds)
+    return graph_vectors(edges, dim, rounds)
 
 
 def vector_columns(vectors: DataFrame, kind: str, prefix: str, dim: int = DIM) -> DataFrame:
