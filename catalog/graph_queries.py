@@ -229,3 +229,10 @@ def model_fold_auc(d: Data):
     rows = [(f"fold {i}", a) for i, a in enumerate(model.fold_aucs)]
     rows.append(("holdout", model.holdout_auc))
     return d.spark.createDataFrame(rows, "part string, auc double").orderBy(F.col("part"))
+
+
+@query("matrix_everything")
+def matrix_everything(d: Data):
+    """The full run up to training: all families, stacked scores, graph vectors, pruned."""
+    inputs = runs.Inputs(d.log, d.pairs, d.users)
+    return runs.prune(runs.full_matrix(inputs, trees=TREES, rounds=ROUNDS))

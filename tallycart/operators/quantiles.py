@@ -1,7 +1,7 @@
 """Exact quantiles, percentile caps and equal-frequency bins over many columns.
 
 Fit once, then transform with literals, as an ML estimator does. The fit melts
-the columns to (name, value), counts equal values before any shuffle, and finds
+the columns to (column, value), counts equal values before any shuffle, and finds
 the wanted ranks in that histogram. Columns with many distinct values are cut
 into runs of about equal size by a bounded quantile sketch; only the runs that
 hold a wanted rank are sorted. No task and no driver call sees a whole column,
@@ -74,24 +74,30 @@ def _number(value: float) -> str:
     return f"{value!r}D"
 
 
-def _melt(df: DataFrame, columns: list[str]) -> DataFrame:
-    doubles = df.selectExpr(*[f"cast(`{c}` as double) as `{c}`" for c in columns])
-    return doubles.unpivot([], columns, "name", "x").filter(F.col("x").isNotNull())
-
-
 def histogram(tables: list[tuple[DataFrame, list[str]]]) -> DataFrame:
-    """(name, x, n) over the columns of several tables; names must differ."""
-    melted = [_melt(df, columns) for df, columns in tables if columns]
-    return (
-        reduce(DataFrame.unionByName, melted).groupBy("name", "x").agg(F.count("*").alias("n"))
-    )
+    """(name, x, n) over the columns of several tables; names are their numbers.
+
+    Columns are numbered through all tables: a short key keeps the one shuffle,
+    which carries every distinct value of every column, narrow.
+    """
+    melted, number = [], 0
+    for df, columns in tables:
+        cells = [
+            f"struct({number + i} as name, cast(`{c}` as double) as x)"
+            for i, c in enumerate(columns)
+        ]
+        number += len(columns)
+        if cells:
+            melted.append(df.selectExpr(f"inline(array({', '.join(cells)}))"))
+    rows = reduce(DataFrame.unionByName, melted).filter(F.col("x").isNotNull())
+    return rows.groupBy("name", "x").agg(F.count("*").alias("n"))
 
 
 def _positions(total: int, probs: list[float]) -> dict[float, float]:
     return {p: (total - 1) * p for p in probs}
 
 
-def _cut_points(hist: DataFrame, sizes: dict[str, int]) -> dict[str, list[float]]:
+def _cut_points(hist: DataFrame, sizes: dict[int, int]) -> dict[int, list[float]]:
     """Values that split the large columns into runs of about ``RUN_VALUES``."""
     large = [name for name, values in sizes.items() if values > RUN_VALUES]
     if not large:
@@ -107,11 +113,11 @@ def _cut_points(hist: DataFrame, sizes: dict[str, int]) -> dict[str, list[float]
     return {r["name"]: sorted(set(r["cuts"])) for r in rows}
 
 
-def _with_runs(hist: DataFrame, cuts: dict[str, list[float]]) -> DataFrame:
+def _with_runs(hist: DataFrame, cuts: dict[int, list[float]]) -> DataFrame:
     if not cuts:
         return hist.withColumn("run", F.lit(0))
     # At most one row per column and MAX_RUNS numbers per row.
-    small = hist.sparkSession.createDataFrame(list(cuts.items()), "name string, cuts array<double>")
+    small = hist.sparkSession.createDataFrame(list(cuts.items()), "name int, cuts array<double>")
     run = F.size(F.filter("cuts", lambda c: c < F.col("x")))
     return (
         hist.join(F.broadcast(small), "name", "left")
@@ -121,17 +127,18 @@ def _with_runs(hist: DataFrame, cuts: dict[str, list[float]]) -> DataFrame:
 
 
 def order_statistics(
-    hist: DataFrame, probs: list[float]
+    tables: list[tuple[DataFrame, list[str]]], probs: list[float]
 ) -> dict[str, dict[float, Rank]]:
-    """The neighbours of every quantile of every column in a histogram."""
-    hist = hist.persist(StorageLevel.MEMORY_AND_DISK)
+    """The neighbours of every quantile of every column; columns without values are left out."""
+    names = [c for _, columns in tables for c in columns]
+    hist = histogram(tables).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _order_statistics(hist, probs)
+        return {names[i]: ranks for i, ranks in _order_statistics(hist, probs).items()}
     finally:
         hist.unpersist()
 
 
-def _order_statistics(hist: DataFrame, probs: list[float]) -> dict[str, dict[float, Rank]]:
+def _order_statistics(hist: DataFrame, probs: list[float]) -> dict[int, dict[float, Rank]]:
     spark = hist.sparkSession
     stats = hist.groupBy("name").agg(F.sum("n").alias("total"), F.count("*").alias("values"))
     rows = stats.collect()
@@ -141,7 +148,7 @@ def _order_statistics(hist: DataFrame, probs: list[float]) -> dict[str, dict[flo
     cuts = _cut_points(hist, {r["name"]: r["values"] for r in rows})
     parted = _with_runs(hist, cuts)
 
-    run_sizes: dict[str, list[tuple[int, int]]] = {name: [(0, totals[name])] for name in totals}
+    run_sizes: dict[int, list[tuple[int, int]]] = {name: [(0, totals[name])] for name in totals}
     if cuts:
         counted = (
             parted.filter(F.col("name").isin(list(cuts)))
@@ -165,7 +172,7 @@ def _order_statistics(hist: DataFrame, probs: list[float]) -> dict[str, dict[flo
                 targets.append((name, run, below, inside))
             below += size
     small = spark.createDataFrame(
-        targets, "name string, run int, below long, ranks array<long>"
+        targets, "name int, run int, below long, ranks array<long>"
     )
     in_run = Window.partitionBy("name", "run").orderBy("x")
     upto = F.col("below") + F.sum("n").over(in_run.rowsBetween(Window.unboundedPreceding, 0))
@@ -182,7 +189,7 @@ def _order_statistics(hist: DataFrame, probs: list[float]) -> dict[str, dict[flo
         .select("name", "x", "hit")
         .collect()
     )
-    at: dict[str, dict[int, float]] = {name: {} for name in totals}
+    at: dict[int, dict[int, float]] = {name: {} for name in totals}
     for r in found:
         for rank in r["hit"]:
             at[r["name"]][rank] = r["x"]
@@ -209,7 +216,7 @@ def fit(
     if not columns:
         return {}
     probs = sorted({i / bins for i in range(bins + 1)} | ({cap} if cap is not None else set()))
-    ranks = order_statistics(histogram(tables), probs)
+    ranks = order_statistics(tables, probs)
     out = {}
     for name in columns:
         if name not in ranks:
@@ -248,6 +255,6 @@ def bin_values(df: DataFrame, columns: list[str], bins: int = 5) -> DataFrame:
 
 def percentiles(df: DataFrame, columns: list[str], prob: float = CAP) -> DataFrame:
     """One row per column with its exact percentile."""
-    ranks = order_statistics(histogram([(df, columns)]), [prob])
+    ranks = order_statistics([(df, columns)], [prob])
     rows = [(c, ranks[c][prob].value() if c in ranks else None) for c in columns]
     return df.sparkSession.createDataFrame(rows, "feature string, value double")

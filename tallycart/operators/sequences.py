@@ -60,9 +60,12 @@ def gap_stats(purchases: DataFrame) -> DataFrame:
     )
 
 
-def recency_frequency(purchases: DataFrame) -> DataFrame:
-    """R: days from the pair's last purchase to the log's last; F and M: purchases."""
-    newest = purchases.agg(F.max("dt")).scalar()
+def recency_frequency(purchases: DataFrame, all_purchases: DataFrame | None = None) -> DataFrame:
+    """R: days from the pair's last purchase to the log's last; F and M: purchases.
+
+    Where ``purchases`` holds some pairs only, ``all_purchases`` gives the last day.
+    """
+    newest = (purchases if all_purchases is None else all_purchases).agg(F.max("dt")).scalar()
     return (
         purchases.groupBy(*PAIR)
         .agg(F.max("dt").alias("_last"), F.count("dt").alias("F"))
@@ -75,9 +78,13 @@ def recency_frequency(purchases: DataFrame) -> DataFrame:
     )
 
 
-def rfm_and_gaps(log: DataFrame, columns: list[str] | None = None) -> DataFrame:
+def rfm_and_gaps(
+    log: DataFrame, columns: list[str] | None = None, whole: DataFrame | None = None
+) -> DataFrame:
+    """Recency, frequency and gaps of the pairs in ``log``, a part of ``whole``."""
     purchases = log.filter(is_action("purchase"))
-    return recency_frequency(purchases).join(gap_stats(purchases), PAIR, "left")
+    everyone = purchases if whole is None else whole.filter(is_action("purchase"))
+    return recency_frequency(purchases, everyone).join(gap_stats(purchases), PAIR, "left")
 
 
 def _order() -> Column:

@@ -32,6 +32,8 @@ class Grain:
     on: list[str] | None = None
     # For mixed grains: the attribute whose most frequent value represents a merchant.
     pick: str | None = None
+    # The builder also wants the log of all pairs.
+    needs_whole: bool = False
 
 
 GRAINS = {
@@ -41,7 +43,7 @@ GRAINS = {
     "merchant_brand": Grain(grains.merchant_brand_grain, ["merchant_id"], pick="brand_id"),
     "merchant_category": Grain(grains.merchant_category_grain, ["merchant_id"], pick="cat_id"),
     "pair": Grain(grains.pair_grain, PAIR),
-    "purchases": Grain(sequences.rfm_and_gaps, PAIR),
+    "purchases": Grain(sequences.rfm_and_gaps, PAIR, needs_whole=True),
     "interval": Grain(sequences.cart_purchase_interval, PAIR),
     "top_brand": Grain(grains.top_brand_per_pair, PAIR),
     "top_category": Grain(grains.top_category_per_pair, PAIR),
@@ -62,7 +64,10 @@ class Family:
     fills: dict[str, float] = field(default_factory=dict)
     derived: dict[str, str] = field(default_factory=dict)
     helpers: list[str] = field(default_factory=list)
-    bins: int = 8
+
+    def outputs(self) -> set[str]:
+        taken = {c for columns in self.takes.values() for c in columns}
+        return (taken | set(self.derived)) - set(self.helpers)
 
 
 def _zero(columns: list[str]) -> dict[str, float]:
@@ -224,19 +229,24 @@ def attach(
     per grain; pass a stored table, not an expensive view, when adding several.
     """
     present = set(matrix.columns)
+    families = [f for f in families if not f.outputs() <= present]
     takes: dict[str, list[str]] = {}
     for family in families:
         for grain, columns in family.takes.items():
             wanted = takes.setdefault(grain, [])
             wanted += [c for c in columns if c not in present and c not in wanted]
+    # A pair's columns need the log rows of the matrix's pairs only. The semi join
+    # drops the rest before the rows are multiplied and shuffled.
+    of_pairs = log.join(matrix.select(*PAIR), PAIR, "left_semi")
     tables = {
-        grain: _grain_table(log, grain, columns, (builders or {}).get(grain))
+        grain: _grain_table(log, of_pairs, grain, columns, (builders or {}).get(grain))
         for grain, columns in takes.items()
+        if columns
     }
 
     entity = [f for f in families if f.scope == "entity"]
     by_pairs = [f for f in families if f.scope == "matrix"]
-    tables, added = _finish_entities(tables, entity, present)
+    tables = _finish_entities(tables, entity)
 
     joined = _join_grains(matrix, tables)
     derived = {
@@ -254,6 +264,7 @@ def attach(
         if c not in present and c in joined.columns
     }
     joined = joined.fillna(fills) if fills else joined
+    joined = joined.select(*matrix.columns, *[c for c in joined.columns if c not in present])
 
     capped = [c for f in by_pairs for c in f.capped if c not in present]
     binned = [c for f in by_pairs for c in f.binned if c not in present]
@@ -265,30 +276,34 @@ def attach(
 
 def _grain_table(
     log: DataFrame,
+    of_pairs: DataFrame,
     name: str,
     columns: list[str],
     build: Callable[[DataFrame, list[str]], DataFrame] | None = None,
 ) -> DataFrame:
     grain = GRAINS[name]
-    table = (build or grain.build)(log, columns)
+    rows = of_pairs if grain.keys == PAIR else log
+    more = [log] if grain.needs_whole else []
+    table = (build or grain.build)(rows, columns, *more)
     if grain.pick:
         return table.select(*grain.keys, grain.pick, "_rows", *columns)
     return table.select(*grain.keys, *columns)
 
 
 def _finish_entities(
-    tables: dict[str, DataFrame], families: list[Family], present: set[str]
-) -> tuple[dict[str, DataFrame], list[str]]:
+    tables: dict[str, DataFrame], families: list[Family]
+) -> dict[str, DataFrame]:
     """Cap and bin within the grain tables: one fit over all of them."""
     todo: dict[str, tuple[list[str], list[str]]] = {}
     for family in families:
-        for grain, columns in family.takes.items():
-            capped = [c for c in columns if c in family.capped and c in tables[grain].columns]
-            binned = [c for c in columns if c in family.binned and c in tables[grain].columns]
+        for grain in family.takes:
+            columns = tables[grain].columns if grain in tables else []
+            capped = [c for c in columns if c in family.capped]
+            binned = [c for c in columns if c in family.binned]
             if capped:
                 todo[grain] = (capped, binned)
     if not todo:
-        return tables, []
+        return tables
     out = {**tables, **stage_all({grain: tables[grain] for grain in todo})}
     fitted = quantiles.fit([(out[g], capped) for g, (capped, _) in todo.items()])
     for grain, (capped, binned) in todo.items():
@@ -298,24 +313,25 @@ def _finish_entities(
             done = grains.most_frequent(done, GRAINS[grain].keys, pick, "_rows")
             done = done.drop(pick, "_rows")
         out[grain] = done
-    return out, [c for capped, _ in todo.values() for c in capped]
+    return out
 
 
 def _join_grains(matrix: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
-    """One left join per key: grains that share a key are joined to each other first."""
-    groups: dict[tuple[str, ...], DataFrame] = {}
+    """Left joins, those on the same key next to each other.
+
+    A left join keeps the matrix's partitioning and a grain comes out of its
+    aggregation partitioned by its key, so a run of joins on one key shuffles the
+    matrix once. Pair columns come first: the attribute grains join on the pair's
+    favourites.
+    """
+    keyed = []
     for name, table in tables.items():
         grain = GRAINS[name]
         if grain.on:
             table = table.withColumnsRenamed(dict(zip(grain.keys, grain.on)))
-        key = tuple(grain.on or grain.keys)
-        if key in groups:
-            groups[key] = groups[key].join(table, list(key), "full")
-        else:
-            groups[key] = table
-    # Pair columns first: the attribute grains join on the pair's favourites.
-    for key in sorted(groups, key=lambda k: (k != tuple(PAIR), len(k))):
-        matrix = matrix.join(groups[key], list(key), "left")
+        keyed.append((grain.on or grain.keys, table))
+    for key, table in sorted(keyed, key=lambda k: (k[0] != PAIR, k[0])):
+        matrix = matrix.join(table, key, "left")
     return matrix
 
 

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
 _LOCAL_ROOTS: dict[str, str] = {}
 
 
@@ -62,12 +65,19 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def at_once(spark: SparkSession, fn: Callable[..., T], calls: list[tuple]) -> list[T]:
+    """Run a few independent driver calls in threads, so that their jobs overlap."""
+    if len(calls) < 2:
+        return [fn(*args) for args in calls]
+    run = inheritable_thread_target(spark)(fn)
+    with ThreadPoolExecutor(len(calls)) as pool:
+        return [f.result() for f in [pool.submit(run, *args) for args in calls]]
+
+
 def stage_all(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Stage several tables at once, so that their short last stages overlap."""
-    if len(tables) < 2:
-        return {name: stage(df, name) for name, df in tables.items()}
+    """Stage several tables at once: their short last stages overlap."""
+    if not tables:
+        return {}
     spark = next(iter(tables.values())).sparkSession
-    run = inheritable_thread_target(spark)(stage)
-    with ThreadPoolExecutor(len(tables)) as pool:
-        done = {name: pool.submit(run, df, name) for name, df in tables.items()}
-        return {name: future.result() for name, future in done.items()}
+    stored = at_once(spark, stage, [(df, name) for name, df in tables.items()])
+    return dict(zip(tables, stored))
