@@ -27,7 +27,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), w -> w <> '')"
+WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda w: w <> '')"
 
 
 @query(
@@ -41,7 +41,7 @@ WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]
     gone as (select doc_id, count(*) as n, list(i) as spots from covered group by doc_id)
     select d.doc_id, len(words)::bigint as n_words, coalesce(n, 0)::bigint as n_removed,
       sha256(array_to_string(case when spots is null then words else
-        list_transform(list_filter(range(len(words)), i -> not list_contains(spots, i)), i -> words[i + 1]) end, ' ')) as kept_sha256
+        list_transform(list_filter(range(len(words)), lambda i: not list_contains(spots, i)), lambda i: words[i + 1]) end, ' ')) as kept_sha256
     from docs d left join gone g using (doc_id)""",
 )
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
