@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallycart.llm import substring_dedup
+from tallycart.llm import minhash_dedup, quality_crf, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -47,3 +47,29 @@ WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return left.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query(
+    "op1_minhash_dedup",
+    rf"""with recursive docs as (select doc_id,
+      list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[ \t\n\x0B\f\r]+'), lambda w: w <> '') as words from documents),
+    sets as (select doc_id, case when len(words) = 0 then [] when len(words) < 5 then [array_to_string(words, ' ')]
+      else list_distinct(list_transform(range(0, len(words) - 4), lambda i: array_to_string(words[i + 1 : i + 5], ' '))) end as s from docs),
+    parts as (select doc_id, len(s) as n, unnest(s) as w from sets),
+    shared as (select a.doc_id as x, b.doc_id as y, any_value(a.n) as nx, any_value(b.n) as ny, count(*) as common
+      from parts a join parts b on a.w = b.w and a.doc_id <> b.doc_id group by 1, 2),
+    edges as (select x, y from shared where 100 * common >= 75 * (nx + ny - common)),
+    reach(x, y) as (select doc_id, doc_id from sets union select r.x, e.y from reach r join edges e on r.y = e.x)
+    select s.doc_id, len(s.s)::bigint as n_shingles, min(r.y) as component_id, min(r.y) = s.doc_id as kept
+    from sets s join reach r on s.doc_id = r.x group by s.doc_id, s.s""",
+)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
+@query("op8_quality_crf")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality_crf.assess(docs, quality_crf.fit(quality_crf.sample_lines(docs, labels)))
