@@ -8,25 +8,28 @@ more rows through, and the join behind it drops them.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallycart.llm import words as W
 
 LOG_BITS = 26
-PLACES = 3
+SHIFTS = (0, 19, 38)  # each place is LOG_BITS bits of the key from here on
 
 
 class Bloom:
     def __init__(self, keys: DataFrame, column: str):
-        """``column`` holds the keys as longs; nulls are left out."""
-        known = keys.filter(F.col(column).isNotNull())
+        """``column`` holds the keys: longs that are hashes already. Nulls are left out."""
+        mask = (1 << LOG_BITS) - 1
+        places = [F.shiftrightunsigned(column, s).bitwiseAND(F.lit(mask)) for s in SHIFTS]
         bits = (
-            known.select(F.explode(F.array(*places(column))).alias("place"))
+            keys.filter(F.col(column).isNotNull())
+            .select(F.explode(F.array(*places)).alias("place"))
             # Spark counts a bitmap's bits from one.
             .groupBy(F.bitmap_bucket_number(F.col("place") + 1).alias("bucket"))
             .agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("place") + 1)).alias("bits"))
@@ -37,29 +40,38 @@ class Bloom:
             data[(row.bucket - 1) * 4096 :][: len(part)] = part
         self.shared = keys.sparkSession.sparkContext.broadcast(data)
 
-    def has(self, places: np.ndarray) -> np.ndarray:
-        """Which rows of an array of places, one column for each hash, may be keys."""
-        data = self.shared.value
-        return ((data[places >> 3] >> (places & 7).astype(np.uint8)) & 1).all(axis=1)
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        """Which of the keys (unsigned) may be among those gathered."""
+        data, found = self.shared.value, np.ones(len(keys), bool)
+        for shift in SHIFTS:
+            place = (keys >> np.uint64(shift)) & np.uint64((1 << LOG_BITS) - 1)
+            found &= (data[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 > 0
+        return found
 
 
-def places(column: str) -> list:
-    """The places of a key as Spark columns."""
-    return [
-        F.pmod(F.xxhash64(F.col(column), F.lit(i)), F.lit(1 << LOG_BITS)).alias(f"_place{i}")
-        for i in range(PLACES)
-    ]
+Batches = Iterator[pa.RecordBatch]
 
 
-def only_maybe(df: DataFrame, column: str, keys: Bloom, wanted: bool = True) -> DataFrame:
-    """The rows of ``df`` whose key may be among ``keys`` (or those whose key is surely not)."""
-    width = len(df.columns)
+def only_maybe(
+    df: DataFrame,
+    column: str,
+    keys: Bloom,
+    wanted: bool = True,
+    then: Callable[[Batches], Batches] | None = None,
+    schema: StructType | str | None = None,
+) -> DataFrame:
+    """The rows of ``df`` whose key may be among ``keys`` (or those whose key is surely not).
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    ``then`` is applied to them in the same worker; ``schema`` is what it gives.
+    """
+    at = df.columns.index(column)
+
+    def chosen(batches: Batches) -> Batches:
         for batch in W.pieces(batches):
-            at = np.stack([batch.column(width + i).to_numpy(zero_copy_only=False) for i in range(PLACES)], axis=1)
-            rows = batch.select(list(range(width))).filter(pa.array(keys.has(at) == wanted))
+            own = batch.column(at).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+            rows = batch.filter(pa.array(keys.has(own) == wanted))
             if rows.num_rows:
                 yield rows
 
-    return df.select("*", *places(column)).mapInArrow(run, df.schema)
+    run = chosen if then is None else lambda batches: then(chosen(batches))
+    return df.mapInArrow(run, schema or df.schema)

@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallycart.llm import minhash_dedup, quality_crf, substring_dedup
+from tallycart.llm import (
+    line_dedup,
+    minhash_dedup,
+    packing,
+    quality_crf,
+    secret_scan,
+    substring_dedup,
+    tiling,
+    token_files,
+)
+from tallycart.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -27,6 +37,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary() -> str:
+    """The vocabulary file of the token queries, from the installed package of public ones."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda w: w <> '')"
 
 
@@ -73,3 +90,90 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return quality_crf.assess(docs, quality_crf.fit(quality_crf.sample_lines(docs, labels)))
+
+
+@query("op5_packing")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary())
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+@query("op9_token_files")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "tokens")
+    parts = token_files.write_token_files(table(spark, sf_dir, "documents"), folder, vocabulary())
+    return token_files.read_documents(parts)
+
+
+@query("op10_decontamination")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = tiling.contaminated(docs, table(spark, sf_dir, "benchmark")).alias("f")
+    keys = docs.select("doc_id", F.xxhash64("text").alias("version")).alias("d")
+    same = F.col("d.version").eqNullSafe(F.col("f.version")) & F.col("d.doc_id").eqNullSafe(F.col("f.doc_id"))
+    return keys.join(found, same, "left").select(
+        "d.doc_id",
+        F.coalesce("f.n_items", F.lit(0)).alias("n_items"),
+        "f.item_id",
+        (F.col("f.covered") / F.col("f.size")).alias("coverage"),
+        F.col("f.item_id").isNotNull().alias("contaminated"),
+    )
+
+
+@query(
+    "op4_line_dedup",
+    """with docs as (select doc_id, string_split(coalesce(text, ''), chr(10)) as ls from documents),
+    rows as (select doc_id, i, ls[i + 1] as line,
+        translate(trim(ls[i + 1], chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as k
+      from (select doc_id, ls, unnest(range(len(ls))) as i from docs)),
+    common as (select k, max(doc_id) as last from rows where length(k) >= 40
+      group by k having count(distinct doc_id) >= 5),
+    judged as (select doc_id, i, line, c.k is not null and doc_id < last as gone from rows left join common c using (k))
+    select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
+      sha256(coalesce(string_agg(line, chr(10) order by i) filter (not gone), '')) as kept_sha256
+    from judged group by doc_id""",
+)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = line_dedup.line_counts(table(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def _secret_sql() -> str:
+    def matches(n: int) -> str:
+        name, pattern, group, least, role = secret_scan.KINDS[n]
+        p = "'" + pattern.replace("'", "''") + "'"
+        more = "".join(f" and regexp_matches(v, '{c}')" for c in ("[A-Z]", "[a-z]", "[0-9]")) if name == "mixed" else ""
+        return f"""select doc_id, {n} as kind, '{role}' as role, a + g as start, a + g + w as "end" from (
+          select doc_id, length(h[i]) as w, vs[i] as v, list_sum(list_transform(gs[1:i], lambda x: length(x))) as g,
+            coalesce(list_sum(list_transform(h[1:i - 1], lambda x: length(x))), 0) as a
+          from (select doc_id, h, gs, vs, unnest(range(1, len(h) + 1)) as i from (
+            select doc_id, regexp_extract_all(t, {p}, 0) as h, regexp_split_to_array(t, {p}) as gs,
+              regexp_extract_all(t, {p}, {group}) as vs from docs))) where length(v) >= {least}{more}"""
+
+    every = " union all ".join(matches(n) for n in range(len(secret_scan.KINDS)))
+    base, scope = secret_scan.BASE, secret_scan.SCOPE
+    near = "exists (select 1 from parts p where p.doc_id = w.doc_id and p.role = '{}' and abs(p.start - w.start) <= " + f"{scope})"
+    tests = {
+        n: " and ".join(near.format(r) for r in secret_scan.NEEDS[k[0]])
+        for n, k in enumerate(secret_scan.KINDS)
+        if n >= base
+    }
+    weak = " or ".join(f"(kind = {n} and {test})" for n, test in tests.items())
+    names = " ".join(f"when {n} then '{k[0]}'" for n, k in enumerate(secret_scan.KINDS))
+    span = f"(case kind {names} end) || ':' || start || ':' || \"end\""
+    counts = ", ".join(
+        f"count(*) filter (kind = {n}) as n_{secret_scan.KINDS[n][0]}" for n in range(base)
+    )
+    return f"""with docs as (select doc_id, coalesce(text, '') as t from documents),
+    parts as ({every}), told as (select * from parts w where kind < {base} or {weak})
+    select d.doc_id, {counts},
+      sha256(coalesce(string_agg({span}, ',' order by start, kind) filter (kind < {base}), '')) as base_sha256,
+      coalesce(string_agg({span}, ',' order by start, kind), '') as spans
+    from docs d left join told using (doc_id) group by d.doc_id"""
+
+
+@query("op2_secret_scan", _secret_sql())
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    return found.withColumn("base_sha256", F.sha2("base_spans", 256)).drop("base_spans")

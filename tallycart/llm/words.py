@@ -111,7 +111,7 @@ def sha256(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
 
-def pieces(batches: Iterator[pa.RecordBatch], most: int = 2_000) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterable[pa.RecordBatch], most: int = 2_000) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that what is built for one stays small."""
     for batch in batches:
         for start in range(0, batch.num_rows, most):
