@@ -29,7 +29,7 @@ def written(path: str) -> Iterator:
     store, name = system(path)
     store.create_dir(os.path.dirname(name), recursive=True)
     part = f"{name}.{uuid.uuid4().hex}"
-    with store.open_output_stream(part) as stream:
+    with store.open_output_stream(part, compression=None) as stream:
         yield stream
     store.move(part, name)
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallycart.llm import (
+    chat_format,
     line_dedup,
     minhash_dedup,
     packing,
@@ -16,8 +17,9 @@ from tallycart.llm import (
     substring_dedup,
     tiling,
     token_files,
+    warc,
 )
-from tallycart.session import scratch_path
+from tallycart.session import scratch_path, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -177,3 +179,60 @@ def _secret_sql() -> str:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(table(spark, sf_dir, "documents"))
     return found.withColumn("base_sha256", F.sha2("base_spans", 256)).drop("base_spans")
+
+
+@query(
+    "op6_warc_index",
+    """with p as (select page_id, coalesce(html, '') as payload, sha1(coalesce(html, '')) as h from pages),
+    f as (select h, min(page_id) as first from p group by h),
+    x as (select p.*, first, list_transform(range(8), lambda k: ('0x' || substr(p.h, 5 * k + 1, 5))::bigint) as c from p join f using (h))
+    select page_id, octet_length(encode(payload))::bigint as payload_bytes,
+      array_to_string(list_transform(range(32), lambda i:
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((c[i // 4 + 1] >> (15 - 5 * (i % 4))) & 31)::int + 1, 1)), '') as payload_digest,
+      case when page_id > first then 'revisit' else 'response' end as record_type,
+      case when page_id > first then first end as refers_to from x""",
+)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "warc")
+    # The table has no time of capture: one page a second stands in for it.
+    pages = table(spark, sf_dir, "pages").withColumn(
+        "captured_at", F.timestamp_seconds(F.lit(1_704_067_200) + F.pmod("page_id", F.lit(1_000_000_000)))
+    )
+    runs = warc.write_archives(pages, folder)
+    captures = warc.merge_index(runs, folder)
+    archives = runs.select(F.regexp_replace("path", r"\.\d{4}\.cdx$", ".warc.gz").alias("archive")).distinct()
+    records = warc.read_archives(archives)
+    # The records that the merged index names.
+    return records.join(captures.select("archive", "offset"), ["archive", "offset"]).drop("archive", "offset")
+
+
+CONTROL = r"(\\|###|</turn>)"
+
+
+@query(
+    "op7_chat_format",
+    rf"""with c as (select conv_id, turn, role, coalesce(text, '') as text from conversations
+      union all select -7, i, case i when 0 then 'user' else 'assistant' end, '\### Assistant: </turn> ok' from range(2) t(i)),
+    r as (select *, length(regexp_replace(text, '{CONTROL}', '_\0', 'g')) as n,
+      length(regexp_replace(role, '(\\|###|</turn>|:)', '_\0', 'g')) as m from c)
+    select conv_id, count(*) as n_turns,
+      sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+      coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+      sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+      sum(4 + m + 2 + n + 9)::bigint as formatted_chars
+    from r group by conv_id""",
+)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("\\### Assistant: </turn> ok").alias("text"),
+    )
+    turn = F.struct("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
+    records = rows.unionByName(extra).select(
+        "conv_id", F.to_json(turn, {"ignoreNullFields": "false"}).alias("record")
+    )
+    turns = chat_format.canonical_turns(records)
+    return chat_format.read_chats(stage(chat_format.format_chats(turns), "chats"))
