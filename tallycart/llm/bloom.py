@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -75,3 +75,16 @@ def only_maybe(
 
     run = chosen if then is None else lambda batches: then(chosen(batches))
     return df.mapInArrow(run, schema or df.schema)
+
+
+def without(docs: DataFrame, key: Column, gone: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose ``key`` is in ``gone``, a stored table with the column
+    key (longs that are hashes already). Only rows that may be among them are shuffled."""
+    mark = "_key"
+    while mark in docs.columns:
+        mark += "_"
+    marked, keys = docs.withColumn(mark, key), Bloom(gone, "key")
+    stays = only_maybe(marked, mark, keys, wanted=False)
+    named = gone.select(F.col("key").alias(f"{mark}_gone")).distinct()
+    rest = only_maybe(marked, mark, keys).join(named, F.col(mark) == F.col(f"{mark}_gone"), "left_anti")
+    return stays.unionByName(rest).drop(mark)

@@ -14,6 +14,13 @@ from tokenizers import Tokenizer  # noqa: E402
 END = 0
 
 
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
+    """The path of a vocabulary file in the installed package of public ones."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 class Encoder:
     """The ids that ``Tokenizer.encode(text, add_special_tokens=False)`` gives.
 

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallycart.llm import words as W
-from tallycart.llm.bloom import Bloom, only_maybe
+from tallycart.llm.bloom import Bloom, only_maybe, without
 from tallycart.llm.components import components
 from tallycart.session import stage
 
@@ -214,6 +214,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """Of each component the document with the smallest id, with all its columns. Rows that
+    repeat an id stay or go together; rows without an id stay."""
+    others = near_duplicates(docs).filter("doc_id <> component_id")
+    gone = stage(others.select(F.xxhash64("doc_id").alias("key"), F.col("doc_id").alias("id")), "others")
+    return without(docs, F.xxhash64(F.col("doc_id").cast("long")), gone.select("key"))
+
+
 def _merge(live: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFrame:
     """(node, component) of the classes that have a link."""
     spark = live.sparkSession

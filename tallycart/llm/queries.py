@@ -19,6 +19,7 @@ from tallycart.llm import (
     token_files,
     warc,
 )
+from tallycart.llm.encoder import vocabulary
 from tallycart.session import scratch_path, stage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,13 +40,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def vocabulary() -> str:
-    """The vocabulary file of the token queries, from the installed package of public ones."""
-    import public_tokenizers
-
-    return public_tokenizers.path("byte_bpe_50k.json")
-
-
 WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0B\f\r]+'), lambda w: w <> '')"
 
 

@@ -4,7 +4,7 @@ Every window of ``window`` successive words gets a Rabin-Karp hash. A window is
 repeated if the same word sequence also starts in a document with a smaller
 ``doc_id``; repeated windows merge into maximal removal intervals.
 
-How it stays small. Three steps keep the counted rows few without losing a window:
+How it stays small. These steps keep the counted rows few without losing a window:
 
 * Documents with the same word sequence form a class. Only its smallest id takes part;
   the others repeat it and are removed whole. This also takes the heat out of a large
@@ -13,6 +13,8 @@ How it stays small. Three steps keep the counted rows few without losing a windo
   Equal windows have equal anchors, and neighbouring windows mostly share one, so the
   anchors are some sixteen times fewer than the windows. Only windows whose anchor
   occurs in two documents can repeat.
+* The texts that hold such windows are picked out by a Bloom filter of fixed size, so that
+  only they are shuffled.
 * Those windows alone are written as rows (hash, document, position), and counted by
   Spark. The least document of each hash is an aggregate that combines before its
   shuffle; the join back on the hash carries no state, so adaptive execution can
@@ -27,7 +29,7 @@ columns are not looked at.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallycart.llm import words as W
+from tallycart.llm.bloom import Bloom, only_maybe
 from tallycart.session import stage
 
 WINDOW = 50
@@ -132,13 +135,16 @@ def removal_intervals(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -
         .filter("lo < hi")
         .select("anchor")
     )
-    ranges = (
+    ranges = stage(
         anchors.join(shared, "anchor")
         .groupBy(*KEY)
-        .agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
+        .agg(F.collect_list(F.struct("first", "last")).alias("ranges")),
+        "ranges",
     )
+    # Only the texts that have such a window are moved.
+    wanted = only_maybe(texts, "version", Bloom(ranges, "version"))
     rows = stage(
-        texts.join(ranges, KEY)
+        wanted.join(ranges, KEY)
         .select(*KEY, "text", "ranges")
         .mapInArrow(_windows(window), "hash long, doc_id long, version long, place int"),
         "windows",
@@ -174,7 +180,7 @@ def removal_intervals(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -
     )
 
 
-def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _apply(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in W.pieces(batches):
         counts, removed, texts = [], [], []
         for text, parts in zip(W.utf8(batch.column(1)), batch.column(2).to_pylist()):
@@ -198,12 +204,22 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _untouched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, version, text) of texts without an interval."""
+    for batch in batches:
+        none = pa.nulls(batch.num_rows)
+        yield from _apply([pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), none], ["doc_id", "text", "intervals"])])
+
+
+_LEFT = "doc_id long, n_words long, n_removed long, text string"
+
+
 def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """doc_id, n_words, n_removed and the text that is left, its words joined by one space."""
     found = removal_intervals(docs, window, gram).filter("intervals is not null")
-    return (
-        _texts(docs)
-        .join(found.select(*KEY, "intervals").dropDuplicates(KEY), KEY, "left")
-        .select("doc_id", "text", "intervals")
-        .mapInArrow(_apply, "doc_id long, n_words long, n_removed long, text string")
-    )
+    found = stage(found.select(*KEY, "intervals").dropDuplicates(KEY), "intervals")
+    hit, texts = Bloom(found, "version"), _texts(docs)
+    # Texts that surely lose nothing stay where they are.
+    moved = only_maybe(texts, "version", hit).join(found, KEY, "left")
+    still = only_maybe(texts, "version", hit, wanted=False, then=_untouched, schema=_LEFT)
+    return moved.select("doc_id", "text", "intervals").mapInArrow(_apply, _LEFT).unionByName(still)

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallycart.llm import words as W
-from tallycart.llm.bloom import Bloom, only_maybe
+from tallycart.llm.bloom import Bloom, without
 from tallycart.session import stage
 
 MIN_TILE = 5
@@ -228,13 +228,6 @@ def contaminated(
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, least: int = MIN_TILE, coverage: int = COVERAGE) -> DataFrame:
     """The documents that are not contaminated, with all their columns."""
-    found = stage(contaminated(docs, benchmark, least, coverage).select("version"), "contaminated")
-    mark = "_text_version"
-    while mark in docs.columns:
-        mark += "_"
-    marked, keys = docs.withColumn(mark, F.xxhash64("text")), Bloom(found, "version")
-    # Texts that are surely clean stay where they are. The verdict depends on the text alone.
-    clean = only_maybe(marked, mark, keys, wanted=False)
-    rest = only_maybe(marked, mark, keys)
-    rest = rest.join(found.distinct(), rest[mark] == found["version"], "left_anti")
-    return clean.unionByName(rest).drop(mark)
+    # The verdict depends on the text alone.
+    found = contaminated(docs, benchmark, least, coverage).select(F.col("version").alias("key"))
+    return without(docs, F.xxhash64("text"), stage(found, "contaminated"))
