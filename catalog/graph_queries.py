@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
 from catalog import sql as q
+from catalog.family_queries import CHECKS as FAMILY
 from catalog.registry import Data, query
-from tallycart.operators import graph, models
+from tallycart.operators import graph, models, pruning
 from tallycart.plans import families, graph_features, runs
+from tallycart.session import stage
+from tallycart.sources.tables import LABEL_CUT
 
 PAIR = ["user_id", "merchant_id"]
 V = [f"v{i}" for i in range(graph.DIM)]
@@ -37,9 +43,8 @@ def _both(edges: str) -> str:
 
 
 def _start() -> str:
-    number = " ".join(f"when '{k}' then {n}" for k, n in graph.KIND_NUMBER.items())
     parts = ", ".join(
-        f"((id * 31 + {i} * 17 + (case kind {number} end) * 7) % 101)::double / 101.0 as {v}"
+        f"('0x' || substr(md5(kind || ':' || id || ':{i // 4}'), {8 * (i % 4) + 1}, 8))::bigint::double / 4294967296.0 as {v}"
         for i, v in enumerate(V)
     )
     return f"select kind, id, {parts} from points"
@@ -158,10 +163,30 @@ def family_hetero_graph_embedding(d: Data):
     return graph_features.add_hetero_graph_embedding_features(d.matrix, d.log)
 
 
-@query("graph_factorised_pairs")
+@query(
+    "graph_factorised_pairs",
+    f"""select distinct 'user' as kind, user_id as id, {graph.DIM}::integer as width from log
+    union all select distinct 'merchant', merchant_id, {graph.DIM} from log""",
+)
 def graph_factorised_pairs(d: Data):
-    users, _ = graph.factorise_pairs(d.log)
-    return users
+    """Every user and merchant of the log has a vector without gaps."""
+    users, merchants = graph.factorise_pairs(d.log)
+    sides = [
+        side.select(
+            F.lit(kind).alias("kind"),
+            F.col(graph.NODE_IDS[kind]).alias("id"),
+            F.size(F.array_compact(F.array(*side.columns[1:]))).alias("width"),
+        )
+        for kind, side in (("user", users), ("merchant", merchants))
+    ]
+    return sides[0].unionByName(sides[1])
+
+
+@query("family_factorised_pairs", f"select {q.cols(MATRIX)}, true as in_range from matrix", ["label"])
+def family_factorised_pairs(d: Data):
+    made = graph_features.add_factorised_pair_features(d.matrix, d.log)
+    numbers = [F.col(f"{p}_{i}").between(0, 15) for p in ("u_als", "m_als") for i in range(graph.DIM)]
+    return made.select(*MATRIX, reduce(Column.__and__, numbers).alias("in_range"))
 
 
 FOLD = "((user_id * 1000003 + merchant_id * 7919) % 5)::integer"
@@ -192,47 +217,97 @@ def model_auc(d: Data):
     return d.spark.createDataFrame([(models.auc(scored, "um_count"),)], "auc double")
 
 
-def _profile_and_recency(d: Data):
-    """What the stacked models see in the full run."""
-    return families.add_rfm_and_repurchase_features(d.matrix, d.log).drop("M")
+# The models' own numbers are not SQL's to compute; the checks hold what their results
+# must be like: every pair once, probabilities and bins in range, all inputs weighed.
 
 
-# Few, shallow trees: the shape of the work is the same, and it fits a test run.
-TREES, ROUNDS, DEPTH = 10, 5, 3
+def _before_cut(d: Data):
+    """The log that the features of a model may see: the label is what comes after it."""
+    return d.log.filter(F.col("dt") < F.lit(LABEL_CUT).cast("date"))
 
 
-@query("family_model_ensemble")
+def _share(column: str) -> Column:
+    return F.coalesce(F.col(column).between(0, 1), F.lit(False))
+
+
+@query("family_model_ensemble", f"select {q.cols(MATRIX)}, true as in_range, true as in_bins from matrix", ["label"])
 def family_model_ensemble(d: Data):
-    return models.add_model_ensemble_features(_profile_and_recency(d), trees=TREES, rounds=ROUNDS)
+    """What the stacked models see in the full run: the profile and recency columns."""
+    seen = families.add_rfm_and_repurchase_features(d.matrix, _before_cut(d)).drop("M")
+    made = models.add_model_ensemble_features(seen)
+    bins = [F.coalesce(F.col(f"{c}_bin").between(0, 7), F.lit(True)) for c in ("rf_pred", "xgb_pred")]
+    return made.select(
+        *MATRIX, (_share("rf_pred") & _share("xgb_pred")).alias("in_range"), (bins[0] & bins[1]).alias("in_bins")
+    )
+
+
+_TRAINED: dict[tuple[str, str], models.RepurchaseModel] = {}
 
 
-def _trained(d: Data, use_kfold: bool = False) -> models.RepurchaseModel:
-    inputs = runs.Inputs(d.log, d.pairs, d.users)
-    params = models.BoostParams(depth=DEPTH)
-    model = models.RepurchaseModel(runs.short_matrix(inputs), params)
-    return model.train_model(use_kfold, num_boost_round=ROUNDS)
+def _trained(d: Data) -> models.RepurchaseModel:
+    """Folds and the final model, trained once for the queries that look at it."""
+    key = (d.spark.sparkContext.applicationId, d.sf_dir)
+    if key not in _TRAINED:
+        inputs = runs.Inputs(_before_cut(d), d.pairs, d.users)
+        _TRAINED[key] = models.RepurchaseModel(runs.short_matrix(inputs)).train_model(use_kfold=True)
+    return _TRAINED[key]
 
 
-@query("model_scores")
+@query("model_scores", "select user_id, merchant_id, true as in_range from pairs where origin = 'test'")
 def model_scores(d: Data):
-    return _trained(d).scores()
+    return _trained(d).scores().select(*PAIR, _share("prob").alias("in_range"))
 
 
-@query("model_importance")
-def model_importance(d: Data):
-    return _trained(d).importance()
+_SHORT_INPUTS = ["age_range", "gender", *[c for f in ("user", "merchant", "user_merchant") for c in FAMILY[f].columns]]
 
 
-@query("model_fold_auc")
-def model_fold_auc(d: Data):
-    model = _trained(d, use_kfold=True)
-    rows = [(f"fold {i}", a) for i, a in enumerate(model.fold_aucs)]
-    rows.append(("holdout", model.holdout_auc))
-    return d.spark.createDataFrame(rows, "part string, auc double").orderBy(F.col("part"))
+@query(
+    "model_importance",
+    f"select unnest({_SHORT_INPUTS!r}) as feature, true as in_range, 1::double as total",
+    ["total"],
+)
+def model_importance(d: Data):
+    """One row per input, markers of missing values aside; all gains add up to one."""
+    gains = _trained(d).importance()
+    # As many rows as the model has inputs.
+    rows = gains.withColumn("total", F.sum("gain").over(Window.partitionBy(F.lit(0))))
+    return rows.filter(~F.col("feature").endswith("_missing")).select(
+        "feature", (_share("gain") & (F.col("splits") >= 0)).alias("in_range"), "total"
+    )
 
 
-@query("matrix_everything")
+@query(
+    "model_fold_auc",
+    f"""folds as (select {FOLD} as fold from pairs where origin = 'train') ::
+    select 'fold ' || fold as part, count(*) as pairs, true as in_range, true as agrees from folds group by fold
+    union all select 'holdout', count(*), true, true from folds where fold = 0""",
+)
+def model_fold_auc(d: Data):
+    """The AUC of each fold; that of the hold-out part is computed once more by ranks."""
+    model = _trained(d)
+    held = models.probability(model.model.transform(models.with_holdout(model.train).filter("is_valid")), "prob")
+    held.select("prob", "label").createOrReplaceTempView("held_scores")
+    by_rank = d.spark.sql(
+        """with steps as (select prob, sum(label) as pos, sum(1 - label) as neg from held_scores group by prob),
+        below as (select *, sum(neg) over (order by prob rows unbounded preceding) - neg as lower from steps)
+        select sum(pos * (lower + neg / 2)) / (sum(pos) * sum(neg)) as auc from below"""
+    ).first()["auc"]
+    sizes = {r["fold"]: r["count"] for r in models.with_folds(model.train).groupBy("fold").count().collect()}
+    same = by_rank is None or abs(by_rank - model.holdout_auc) < 1e-9
+    rows = [(f"fold {i}", sizes[i], 0 <= a <= 1, True) for i, a in enumerate(model.fold_aucs)]
+    rows.append(("holdout", sizes[0], 0 <= model.holdout_auc <= 1, same))
+    return d.spark.createDataFrame(rows, "part string, pairs long, in_range boolean, agrees boolean")
+
+
+@query("matrix_everything", f"select {q.cols(MATRIX)}, true as numbers_only, true as pruned from matrix", ["label"])
 def matrix_everything(d: Data):
     """The full run up to training: all families, stacked scores, graph vectors, pruned."""
-    inputs = runs.Inputs(d.log, d.pairs, d.users)
-    return runs.prune(runs.full_matrix(inputs, trees=TREES, rounds=ROUNDS))
+    inputs = runs.Inputs(_before_cut(d), d.pairs, d.users)
+    made = stage(runs.prune(runs.full_matrix(inputs)), "everything")
+    wanted = {"rf_pred_bin", "xgb_pred_bin", "u_iid", "m_uid", "c_unique_users", "b_unique_items", "u_emb_0", "user_emb_0"}
+    text = [c for c in made.columns if made.schema[c].dataType.typeName() == "string"]
+    return made.select(
+        *MATRIX,
+        F.lit(wanted <= set(made.columns) and set(text) == {"origin", "age_range", "gender"}).alias("numbers_only"),
+        F.lit(not pruning.prunable(made)).alias("pruned"),
+    )

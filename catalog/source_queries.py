@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from catalog import sql as q
 from catalog.registry import Data, query
 from tallycart.functions import columns, decode, ratios
-from tallycart.operators import grains, sequences
+from tallycart.operators import encoding, grains, sequences
 from tallycart.plans import matrix as mx
 from tallycart.session import scratch_path
 from tallycart.sources import cleaning
@@ -100,10 +100,11 @@ def s_pairs_to_score(d: Data):
     "s_prejoined",
     """select p.user_id::varchar as user_id, merchant_id::varchar as merchant_id,
       label::varchar as label, age_range::varchar as age_range, gender::varchar as gender
-    from pairs p left join users u using (user_id) where label is not null""",
+    from pairs p left join users u using (user_id)""",
 )
 def s_prejoined(d: Data):
-    return write_files(d, "train_prejoined").prejoined("train")
+    files = write_files(d, "train_prejoined", "test_prejoined")
+    return files.prejoined("train").unionByName(files.prejoined("test"))
 
 
 @query(
@@ -324,15 +325,29 @@ def set_union_pairs(d: Data):
 
 @query(
     "set_union_categories",
-    """select distinct age_range as label from matrix where origin = 'train'
-    union select distinct age_range from matrix where origin = 'test'""",
+    """select distinct 'age_range' as feature, age_range as label from matrix
+    union select distinct 'gender', gender from matrix""",
 )
 def set_union_categories(d: Data):
-    train, test = (
-        d.matrix.filter(F.col("origin") == o).select(F.col("age_range").alias("label"))
-        for o in ("train", "test")
+    return encoding.label_union(d.matrix, ["age_range", "gender"])
+
+
+@query(
+    "p_parse_date_unpadded",
+    r"""forms as (select distinct month(dt) as m, day(dt) as d from log),
+    texts as (select unnest([lpad(m::varchar, 2, '0') || lpad(d::varchar, 2, '0'), m::varchar || d::varchar,
+      m::varchar || lpad(d::varchar, 2, '0'), lpad(m::varchar, 2, '0') || d::varchar]) as text from forms),
+    parts as (select distinct text, regexp_extract(text, '^(1[0-2]|0[1-9]|[1-9])(3[01]|[12][0-9]|0[1-9]|[1-9])$', ['m', 'd']) as p from texts) ::
+    select text, make_date(2016, p.m::bigint, p.d::bigint) as strict, make_date(2016, p.m::bigint, p.d::bigint) as lenient from parts""",
+)
+def p_parse_date_unpadded(d: Data):
+    forms = d.log.select(F.month("dt").cast("string").alias("m"), F.dayofmonth("dt").cast("string").alias("d")).distinct()
+    month, day = F.lpad("m", 2, "0"), F.lpad("d", 2, "0")
+    texts = F.array(F.concat(month, day), F.concat("m", "d"), F.concat("m", day), F.concat(month, "d"))
+    rows = forms.select(F.explode(texts).alias("text")).distinct()
+    return rows.select(
+        "text", decode.parse_day(F.col("text")).alias("strict"), decode.parse_day(F.col("text"), lenient=True).alias("lenient")
     )
-    return train.unionByName(test).distinct()
 
 
 @query("x_date_parts", "select month(dt)::integer as month, day(dt)::integer as day, count(*) as n from log group by all")

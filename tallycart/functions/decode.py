@@ -44,9 +44,19 @@ def age_name(code: Column) -> Column:
     return F.coalesce(lookup(code, AGE_NAMES), F.lit(UNKNOWN))
 
 
+# Month, then day, each of one or two digits; the longer month is tried first.
+MONTH_DAY = r"^(1[0-2]|0[1-9]|[1-9])(3[01]|[12][0-9]|0[1-9]|[1-9])$"
+
+
 def parse_day(mmdd: Column, year: int = LOG_YEAR, lenient: bool = False) -> Column:
-    """``MMDD`` text of one year as a date; a bad day raises unless lenient."""
-    text = F.concat(F.lit(str(year)), mmdd)
+    """Month and day text of one year as a date; a bad day raises unless lenient.
+
+    ``0829`` and ``829`` are the same day; ``111`` is 1 November, as a month of two
+    digits goes first where the rest is a day.
+    """
+    parts = [F.lpad(F.regexp_extract(mmdd, MONTH_DAY, i), 2, "0") for i in (1, 2)]
+    padded = F.when(mmdd.rlike(MONTH_DAY), F.concat(*parts)).otherwise(mmdd)
+    text = F.concat(F.lit(str(year)), padded)
     if lenient:
         return F.try_to_date(text, "yyyyMMdd")
     return F.to_date(text, "yyyyMMdd")

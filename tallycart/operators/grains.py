@@ -260,8 +260,8 @@ def merchant_category_grain(log: DataFrame, columns: list[str] | None = None) ->
 def most_frequent(counts: DataFrame, keys: list[str], value: str, rows: str) -> DataFrame:
     """The row with the highest count per key, the lowest value among equals.
 
-    ``max_by`` keeps one candidate per key and task, so nothing is sorted and no
-    key's rows are gathered.
+    ``max_by`` keeps one candidate per key and task before the shuffle, so no key's rows
+    are gathered; over a struct Spark aggregates sorted rows.
     """
     others = [c for c in counts.columns if c not in keys]
     best = F.max_by(F.struct(*others), F.struct(F.col(rows), -F.col(value))).alias("_best")

@@ -14,10 +14,11 @@ from pyspark.ml.recommendation import ALS
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallycart.operators.encoding import ranks
 from tallycart.session import stage
 
 DIM = 16
-# Node kinds and their ids in the log, in the order that numbers them.
+# Node kinds and their ids in the log.
 NODE_IDS = {
     "user": "user_id",
     "merchant": "merchant_id",
@@ -25,7 +26,6 @@ NODE_IDS = {
     "brand": "brand_id",
     "item": "item_id",
 }
-KIND_NUMBER = {kind: number for number, kind in enumerate(NODE_IDS)}
 
 
 def nodes(log: DataFrame, kinds: list[str]) -> DataFrame:
@@ -100,17 +100,19 @@ def _components(dim: int) -> list[str]:
 
 
 def start_vectors(points: DataFrame, dim: int = DIM) -> DataFrame:
-    """A repeatable start vector per node, from its id and kind."""
-    number = F.when(F.lit(False), 0)
-    for kind, n in KIND_NUMBER.items():
-        number = number.when(F.col("kind") == kind, n)
-    base = F.pmod(F.col("id"), F.lit(101)) * 31 + number * 7
-    return points.select(
+    """A repeatable start vector per node: eight hex digits of an MD5 per component.
+
+    A digest of kind, id and block number serves four components, so each node has a
+    vector of its own and its components are independent.
+    """
+    blocks = [F.md5(F.concat_ws(":", "kind", "id", F.lit(b))).alias(f"_b{b}") for b in range(-(-dim // 4))]
+    digits = [F.substring(f"_b{i // 4}", 8 * (i % 4) + 1, 8) for i in range(dim)]
+    return points.select("kind", "id", *blocks).select(
         "kind",
         "id",
         *[
-            (F.pmod(base + i * 17, F.lit(101)).cast("double") / 101.0).alias(name)
-            for i, name in enumerate(_components(dim))
+            (F.conv(d, 16, 10).cast("double") / float(1 << 32)).alias(name)
+            for d, name in zip(digits, _components(dim))
         ],
     )
 
@@ -188,31 +190,36 @@ def vector_columns(vectors: DataFrame, kind: str, prefix: str, dim: int = DIM) -
 def factorise_pairs(log: DataFrame, rank: int = DIM, iterations: int = 10, seed: int = 42):
     """Learned user and merchant vectors from the weighted pairs.
 
-    ALS works on 32-bit ids and raises on larger ones.
+    ALS works on 32-bit ids, so users and merchants are numbered first and get their
+    own ids back; each kind may have 2**31 members.
     """
+    edges = stage(pair_edges(log).select("src", "dst", "weight"), "pair_edges")
+    numbers = {}
+    for kind, end in (("user", "src"), ("merchant", "dst")):
+        values = edges.select(F.lit(kind).alias("feature"), F.col(end).alias("label")).distinct()
+        table = ranks(values).select(F.col("label").alias(end), F.col("number").cast("int").alias(f"{end}_no"))
+        numbers[end] = stage(table, "numbers")
     als = ALS(
-        userCol="user_id",
-        itemCol="merchant_id",
+        userCol="src_no",
+        itemCol="dst_no",
         ratingCol="weight",
         rank=rank,
         maxIter=iterations,
         seed=seed,
         implicitPrefs=True,
     )
-    pairs = pair_edges(log).select(
-        F.col("src").alias("user_id"),
-        F.col("dst").alias("merchant_id"),
-        F.col("weight").cast("float").alias("weight"),
+    pairs = edges.join(numbers["src"], "src").join(numbers["dst"], "dst").select(
+        "src_no", "dst_no", F.col("weight").cast("float").alias("weight")
     )
     model = als.fit(pairs)
 
-    def spread(factors: DataFrame, key: str, prefix: str) -> DataFrame:
-        return factors.select(
-            F.col("id").cast("long").alias(key),
+    def spread(factors: DataFrame, end: str, key: str, prefix: str) -> DataFrame:
+        return factors.join(numbers[end], F.col("id") == F.col(f"{end}_no")).select(
+            F.col(end).alias(key),
             *[
                 F.col("features")[i].cast("double").alias(f"{prefix}_{i}") for i in range(rank)
             ],
         )
 
-    users = spread(model.userFactors, "user_id", "u_als")
-    return users, spread(model.itemFactors, "merchant_id", "m_als")
+    users = spread(model.userFactors, "src", "user_id", "u_als")
+    return users, spread(model.itemFactors, "dst", "merchant_id", "m_als")

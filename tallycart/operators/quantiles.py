@@ -1,11 +1,11 @@
 """Exact quantiles, percentile caps and equal-frequency bins over many columns.
 
-Fit once, then transform with literals, as an ML estimator does. The fit melts
-the columns to (column, value), counts equal values before any shuffle, and finds
-the wanted ranks in that histogram. Columns with many distinct values are cut
-into runs of about equal size by a bounded quantile sketch; only the runs that
-hold a wanted rank are sorted. No task and no driver call sees a whole column,
-and the result is exact: the sketch only chooses where to cut.
+Fit once, then transform with literals, as an ML estimator does. A bounded sketch gives
+each column cuts a little below and above every wanted quantile. One pass counts the
+values between the cuts, which says in which slot each wanted rank is; only the values
+of these slots, a small part, are counted, shuffled and sorted. A slot with too many
+values for one task is cut again. No task and no driver call sees a whole column, and
+the result is exact at any size: the sketch only chooses where to cut.
 """
 
 from __future__ import annotations
@@ -14,15 +14,14 @@ import math
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 CAP = 0.95
-# Distinct values of a column that one task may sort without cutting, and the
-# largest number of runs a column is cut into.
-RUN_VALUES = 100_000
-MAX_RUNS = 512
+# Accuracy of the sketch that chooses where to cut, and the number of values that one
+# task may sort: a slot with more is cut again.
+SKETCH = 1_000
+SLOT_VALUES = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -38,6 +37,8 @@ class Rank:
         low, high = self.low, self.high
         if upper is not None:
             low, high = min(low, upper), min(high, upper)
+        if low == high:
+            return low
         if self.step >= 0.5:
             return high - (high - low) * (1 - self.step)
         return low + (high - low) * self.step
@@ -54,8 +55,8 @@ class Fitted:
         """SQL text of the capped value."""
         x = f"cast(`{column}` as double)"
         if self.cap is None:
-            return x
-        return f"case when {x} > {_number(self.cap)} then {_number(self.cap)} else {x} end"
+            return f"nanvl({x}, cast(null as double))"
+        return f"case when isnan({x}) then null when {x} > {_number(self.cap)} then {_number(self.cap)} else {x} end"
 
     def bin(self, column: str) -> str:
         """SQL text of the bin: edges below the value, the first interval closed.
@@ -67,63 +68,105 @@ class Fitted:
             return "cast(null as int)"
         x, inner = f"`{column}`", self.edges[1:-1]
         steps = " ".join(f"when {x} <= {_number(e)} then {i}" for i, e in enumerate(inner))
-        return f"case when {x} is null then null {steps} else {len(inner)} end"
+        return f"case when {x} is null or isnan({x}) then null {steps} else {len(inner)} end"
 
 
 def _number(value: float) -> str:
+    if math.isinf(value):
+        return f"double('{'-' if value < 0 else ''}Infinity')"
     return f"{value!r}D"
 
 
-def histogram(tables: list[tuple[DataFrame, list[str]]]) -> DataFrame:
-    """(name, x, n) over the columns of several tables; names are their numbers.
+def _cells(columns: list[str], number: int, cuts: dict[int, list[float]]) -> str:
+    """An array of (name, x, slot) for a row; the slot counts the cuts below the value."""
+    out = []
+    for i, c in enumerate(columns, number):
+        x = f"cast(`{c}` as double)"
+        known = ", ".join(_number(v) for v in cuts.get(i, []))
+        slot = f"size(filter(array({known}), c -> c < {x}))" if known else "0"
+        out.append(f"struct({i} as name, {x} as x, {slot} as slot)")
+    return f"array({', '.join(out)})"
 
-    Columns are numbered through all tables: a short key keeps the one shuffle,
-    which carries every distinct value of every column, narrow.
-    """
-    melted, number = [], 0
+
+def _melted(tables: list[tuple[DataFrame, list[str]]], cuts: dict[int, list[float]]) -> DataFrame:
+    """(name, x, slot) over the columns of several tables; columns are numbered through."""
+    parts, number = [], 0
     for df, columns in tables:
-        cells = [
-            f"struct({number + i} as name, cast(`{c}` as double) as x)"
-            for i, c in enumerate(columns)
-        ]
+        if columns:
+            parts.append(df.selectExpr(f"inline({_cells(columns, number, cuts)})"))
         number += len(columns)
-        if cells:
-            melted.append(df.selectExpr(f"inline(array({', '.join(cells)}))"))
-    rows = reduce(DataFrame.unionByName, melted).filter(F.col("x").isNotNull())
-    return rows.groupBy("name", "x").agg(F.count("*").alias("n"))
+    # NaN is missing too: it has no rank among the values.
+    return reduce(DataFrame.unionByName, parts).filter(F.col("x").isNotNull() & ~F.isnan("x"))
+
+
+def _first_cuts(tables: list[tuple[DataFrame, list[str]]], probs: list[float]) -> dict[int, list[float]]:
+    """Values a little below and above each quantile, from one bounded sketch per column."""
+    near = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-2 / SKETCH, 2 / SKETCH)})
+    cuts, number = {}, 0
+    for df, columns in tables:
+        if columns:
+            known = [F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in columns]
+            row = df.agg(*[F.percentile_approx(x, near, SKETCH).alias(str(i)) for i, x in enumerate(known)]).first()
+            cuts |= {number + i: sorted(set(row[i])) for i in range(len(columns)) if row[i]}
+        number += len(columns)
+    return cuts
+
+
+@dataclass(frozen=True)
+class _Target:
+    """A slot that holds wanted ranks, the values below it and within it."""
+
+    name: int
+    slot: int
+    below: int
+    size: int
+    ranks: tuple[int, ...]
+
+
+def _targets(
+    tables: list[tuple[DataFrame, list[str]]], cuts: dict[int, list[float]], probs: list[float]
+) -> tuple[dict[int, int], list[_Target]]:
+    """The number of values of each column, and the slots with a wanted rank."""
+    rows = _melted(tables, cuts).groupBy("name", "slot").agg(F.count("*").alias("n")).collect()
+    sizes: dict[int, dict[int, int]] = {}
+    for r in rows:
+        sizes.setdefault(r["name"], {})[r["slot"]] = r["n"]
+    totals = {name: sum(slots.values()) for name, slots in sizes.items()}
+    targets = []
+    for name, slots in sizes.items():
+        wanted = {f(pos) for pos in _positions(totals[name], probs).values() for f in (math.floor, math.ceil)}
+        below = 0
+        for slot in sorted(slots):
+            inside = tuple(sorted(r for r in wanted if below <= r < below + slots[slot]))
+            if inside:
+                targets.append(_Target(name, slot, below, slots[slot], inside))
+            below += slots[slot]
+    return totals, targets
 
 
 def _positions(total: int, probs: list[float]) -> dict[float, float]:
     return {p: (total - 1) * p for p in probs}
 
 
-def _cut_points(hist: DataFrame, sizes: dict[int, int]) -> dict[int, list[float]]:
-    """Values that split the large columns into runs of about ``RUN_VALUES``."""
-    large = [name for name, values in sizes.items() if values > RUN_VALUES]
-    if not large:
-        return {}
-    runs = min(MAX_RUNS, math.ceil(max(sizes[n] for n in large) / RUN_VALUES) + 1)
-    shares = [i / runs for i in range(1, runs)]
+def _narrowed(
+    tables: list[tuple[DataFrame, list[str]]], cuts: dict[int, list[float]], large: list[_Target]
+) -> dict[int, list[float]]:
+    """More cuts within the slots that hold too many values for one task to sort."""
+    spark = next(df for df, columns in tables if columns).sparkSession
+    # At most one short row for each column and quantile.
+    wanted = spark.createDataFrame([(t.name, t.slot) for t in large], "name int, slot int")
+    shares = [i / 64 for i in range(65)]
     rows = (
-        hist.filter(F.col("name").isin(large))
-        .groupBy("name")
-        .agg(F.percentile_approx("x", shares, 20 * runs).alias("cuts"))
+        _melted(tables, cuts)
+        .join(F.broadcast(wanted), ["name", "slot"])
+        .groupBy("name", "slot")
+        .agg(F.percentile_approx("x", shares, SKETCH).alias("cuts"))
         .collect()
     )
-    return {r["name"]: sorted(set(r["cuts"])) for r in rows}
-
-
-def _with_runs(hist: DataFrame, cuts: dict[int, list[float]]) -> DataFrame:
-    if not cuts:
-        return hist.withColumn("run", F.lit(0))
-    # At most one row per column and MAX_RUNS numbers per row.
-    small = hist.sparkSession.createDataFrame(list(cuts.items()), "name int, cuts array<double>")
-    run = F.size(F.filter("cuts", lambda c: c < F.col("x")))
-    return (
-        hist.join(F.broadcast(small), "name", "left")
-        .withColumn("run", F.when(F.col("cuts").isNull(), 0).otherwise(run))
-        .drop("cuts")
-    )
+    out = {name: set(values) for name, values in cuts.items()}
+    for r in rows:
+        out.setdefault(r["name"], set()).update(r["cuts"])
+    return {name: sorted(values) for name, values in out.items()}
 
 
 def order_statistics(
@@ -131,60 +174,32 @@ def order_statistics(
 ) -> dict[str, dict[float, Rank]]:
     """The neighbours of every quantile of every column; columns without values are left out."""
     names = [c for _, columns in tables for c in columns]
-    hist = histogram(tables).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return {names[i]: ranks for i, ranks in _order_statistics(hist, probs).items()}
-    finally:
-        hist.unpersist()
-
-
-def _order_statistics(hist: DataFrame, probs: list[float]) -> dict[int, dict[float, Rank]]:
-    spark = hist.sparkSession
-    stats = hist.groupBy("name").agg(F.sum("n").alias("total"), F.count("*").alias("values"))
-    rows = stats.collect()
-    totals = {r["name"]: r["total"] for r in rows}
+    cuts = _first_cuts(tables, probs)
+    totals, targets = _targets(tables, cuts, probs)
     if not totals:
         return {}
-    cuts = _cut_points(hist, {r["name"]: r["values"] for r in rows})
-    parted = _with_runs(hist, cuts)
-
-    run_sizes: dict[int, list[tuple[int, int]]] = {name: [(0, totals[name])] for name in totals}
-    if cuts:
-        counted = (
-            parted.filter(F.col("name").isin(list(cuts)))
-            .groupBy("name", "run")
-            .agg(F.sum("n").alias("n"))
-            .collect()
-        )
-        for name in cuts:
-            run_sizes[name] = sorted((r["run"], r["n"]) for r in counted if r["name"] == name)
-
-    # Which runs hold a wanted rank, and how many values lie below each of them.
-    targets = []
-    for name, total in totals.items():
-        wanted = set()
-        for position in _positions(total, probs).values():
-            wanted |= {math.floor(position), math.ceil(position)}
-        below = 0
-        for run, size in run_sizes[name]:
-            inside = sorted(r for r in wanted if below <= r < below + size)
-            if inside:
-                targets.append((name, run, below, inside))
-            below += size
+    while large := [t for t in targets if t.size > SLOT_VALUES]:
+        more = _narrowed(tables, cuts, large)
+        if more == cuts:
+            break  # the values of these slots are equal, and count as one
+        cuts = more
+        _, targets = _targets(tables, cuts, probs)
+    spark = next(df for df, columns in tables if columns).sparkSession
+    # At most one short row for each column and quantile.
     small = spark.createDataFrame(
-        targets, "name int, run int, below long, ranks array<long>"
+        [(t.name, t.slot, t.below, list(t.ranks)) for t in targets],
+        "name int, slot int, below long, ranks array<long>",
     )
-    in_run = Window.partitionBy("name", "run").orderBy("x")
-    upto = F.col("below") + F.sum("n").over(in_run.rowsBetween(Window.unboundedPreceding, 0))
+    in_slot = Window.partitionBy("name", "slot").orderBy("x")
+    upto = F.col("below") + F.sum("n").over(in_slot.rowsBetween(Window.unboundedPreceding, 0))
     found = (
-        parted.join(F.broadcast(small), ["name", "run"])
+        _melted(tables, cuts)
+        .join(F.broadcast(small.select("name", "slot")), ["name", "slot"])
+        .groupBy("name", "slot", "x")
+        .agg(F.count("*").alias("n"))
+        .join(F.broadcast(small), ["name", "slot"])
         .withColumn("upto", upto)
-        .withColumn(
-            "hit",
-            F.filter(
-                "ranks", lambda r: (r < F.col("upto")) & (r >= F.col("upto") - F.col("n"))
-            ),
-        )
+        .withColumn("hit", F.filter("ranks", lambda r: (r < F.col("upto")) & (r >= F.col("upto") - F.col("n"))))
         .filter(F.size("hit") > 0)
         .select("name", "x", "hit")
         .collect()
@@ -194,7 +209,7 @@ def _order_statistics(hist: DataFrame, probs: list[float]) -> dict[int, dict[flo
         for rank in r["hit"]:
             at[r["name"]][rank] = r["x"]
     return {
-        name: {
+        names[name]: {
             p: Rank(at[name][math.floor(pos)], at[name][math.ceil(pos)], pos - math.floor(pos))
             for p, pos in _positions(total, probs).items()
         }

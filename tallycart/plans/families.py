@@ -5,9 +5,9 @@ them are capped and binned over which rows. ``attach`` adds any number of
 families in one go: a grain is aggregated and joined once however many families
 read it, and one fit covers all columns of a scope.
 
-Join sides are never forced to broadcast. Their sizes are known at run time, so
-adaptive execution broadcasts those below the session's limit and splits skewed
-partitions of the rest.
+Join sides are never forced to broadcast, and they are stored tables. Their sizes are
+known at run time, so adaptive execution broadcasts those below the session's limit and
+splits skewed partitions of the rest.
 """
 
 from __future__ import annotations
@@ -235,9 +235,13 @@ def attach(
         for grain, columns in family.takes.items():
             wanted = takes.setdefault(grain, [])
             wanted += [c for c in columns if c not in present and c not in wanted]
-    # A pair's columns need the log rows of the matrix's pairs only. The semi join
-    # drops the rest before the rows are multiplied and shuffled.
-    of_pairs = log.join(matrix.select(*PAIR), PAIR, "left_semi")
+    of_pairs = log
+    if any(GRAINS[grain].keys == PAIR and columns for grain, columns in takes.items()):
+        # A pair's columns need the log rows of the matrix's pairs only. Both sides and the
+        # outcome are stored tables: adaptive execution then splits a hot pair in the join,
+        # and what reads the rows deals them anew by its own, finer keys.
+        keys = stage(matrix.select(*PAIR).distinct(), "pair_keys")
+        of_pairs = stage(log.join(keys, PAIR, "left_semi"), "pair_log")
     tables = {
         grain: _grain_table(log, of_pairs, grain, columns, (builders or {}).get(grain))
         for grain, columns in takes.items()
@@ -317,21 +321,25 @@ def _finish_entities(
 
 
 def _join_grains(matrix: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
-    """Left joins, those on the same key next to each other.
+    """One left join per key, to a stored table with all columns of that key's grains.
 
-    A left join keeps the matrix's partitioning and a grain comes out of its
-    aggregation partitioned by its key, so a run of joins on one key shuffles the
-    matrix once. Pair columns come first: the attribute grains join on the pair's
-    favourites.
+    A key's grains have one row per key each, so they merge without a hot spot. The
+    matrix may have very many rows of one merchant or brand: adaptive execution splits
+    these in a join of plain tables, but not in a join to an aggregate, nor in two joins
+    on one key in a row. Pair columns come first: the attribute grains join on the
+    pair's favourites.
     """
-    keyed = []
+    keyed: dict[tuple[str, ...], DataFrame] = {}
     for name, table in tables.items():
         grain = GRAINS[name]
         if grain.on:
             table = table.withColumnsRenamed(dict(zip(grain.keys, grain.on)))
-        keyed.append((grain.on or grain.keys, table))
-    for key, table in sorted(keyed, key=lambda k: (k[0] != PAIR, k[0])):
-        matrix = matrix.join(table, key, "left")
+        key = tuple(grain.on or grain.keys)
+        keyed[key] = keyed[key].join(table, list(key), "full") if key in keyed else table
+    order = sorted(keyed, key=lambda k: (list(k) != PAIR, k))
+    stored = stage_all({"_".join(key): keyed[key] for key in order})
+    for key in order:
+        matrix = matrix.join(stored["_".join(key)], list(key), "left")
     return matrix
 
 

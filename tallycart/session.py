@@ -47,6 +47,19 @@ def checkpoint_root(spark: SparkSession) -> str:
     return _LOCAL_ROOTS[app]
 
 
+def set_checkpoints(spark: SparkSession) -> None:
+    """Let Spark's own checkpoints, as of boosted trees, go to the shared folder too."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(checkpoint_root(spark))
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete the stored tables of this application. Frames that read them end with it."""
+    folder = f"{checkpoint_root(spark)}/{spark.sparkContext.applicationId}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder, grouped by application."""
     app = spark.sparkContext.applicationId
@@ -65,12 +78,18 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def at_once(spark: SparkSession, fn: Callable[..., T], calls: list[tuple]) -> list[T]:
-    """Run a few independent driver calls in threads, so that their jobs overlap."""
+# Driver calls that run at one time, each with its own jobs and cached rows.
+AT_ONCE = 4
+
+
+def at_once(
+    spark: SparkSession, fn: Callable[..., T], calls: list[tuple], most: int = AT_ONCE
+) -> list[T]:
+    """Run independent driver calls in at most ``most`` threads, so that their jobs overlap."""
     if len(calls) < 2:
         return [fn(*args) for args in calls]
     run = inheritable_thread_target(spark)(fn)
-    with ThreadPoolExecutor(len(calls)) as pool:
+    with ThreadPoolExecutor(min(most, len(calls))) as pool:
         return [f.result() for f in [pool.submit(run, *args) for args in calls]]
 
 

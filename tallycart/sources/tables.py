@@ -14,24 +14,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(scan: DataFrame, *keys: str) -> DataFrame:
-    """Hash a scan over the cores if its files give fewer splits than there are cores.
-
-    A large table has many more splits than cores and is left as it is.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= cores:
-        return scan
-    return scan.repartition(cores, *keys)
-
-
 def log_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One action per order line: customer = user, supplier = merchant, part = item."""
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
         "l_returnflag", "l_linestatus", "l_shipdate",
     )
-    lines = spread(lines, "l_orderkey", "l_linenumber")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size")
     brand = F.when(

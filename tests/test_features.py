@@ -127,6 +127,16 @@ def test_dates_and_codes(spark):
     ]
 
 
+def test_days_of_one_and_two_digits(spark):
+    texts = {"829": (8, 29), "0829": (8, 29), "512": (5, 12), "111": (11, 1), "1111": (11, 11), "110": (1, 10), "13": (1, 3), "93": (9, 3)}
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    for lenient in (False, True):
+        got = rows.select("t", decode.parse_day(F.col("t"), lenient=lenient).alias("d")).collect()
+        assert {r.t: (r.d.month, r.d.day) for r in got} == texts
+    bad = spark.createDataFrame([("1",), ("000",), ("12345",), (None,)], "t string")
+    assert {r[0] for r in bad.select(decode.parse_day(F.col("t"), lenient=True)).collect()} == {None}
+
+
 def test_bad_day_raises_when_strict(spark):
     df = spark.createDataFrame([("0230",)], "t string")
     with pytest.raises(Exception, match="(?i)date|parse|value"):

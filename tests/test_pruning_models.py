@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -78,7 +80,10 @@ def test_text_is_encoded_alphabetically(spark):
 def test_two_rounds_of_neighbour_means(make_log):
     log = make_log([(1, 5, 1, 1, 1, (5, 1), "click")] * 2 + [(2, 5, 1, 1, 1, (5, 1), "click")])
     got = {(r.kind, r.id): r.v0 for r in graph.bipartite_vectors(log, 2).collect()}
-    start = {("user", 1): 31 / 101, ("user", 2): 62 / 101, ("merchant", 5): ((155 + 7) % 101) / 101}
+    start = {
+        (kind, id_): int(hashlib.md5(f"{kind}:{id_}:0".encode()).hexdigest()[:8], 16) / 2**32
+        for kind, id_ in (("user", 1), ("user", 2), ("merchant", 5))
+    }
     for _ in range(2):
         heard = (2 * start["user", 1] + start["user", 2]) / 3
         start = {
@@ -92,7 +97,8 @@ def test_two_rounds_of_neighbour_means(make_log):
 def test_one_way_edges_leave_users_alone(make_log):
     log = make_log([(1, 5, 1, 1, 1, (5, 1), "click")])
     got = {r.kind: r.v0 for r in graph.bipartite_vectors(log, 1, both_directions=False).collect()}
-    assert got["user"] == pytest.approx(31 / 101, abs=1e-9)
+    digest = int(hashlib.md5(b"user:1:0").hexdigest()[:8], 16)
+    assert got["user"] == pytest.approx(digest / 2**32, abs=1e-9)
 
 
 def test_auc_counts_ties_by_half(spark):
@@ -168,3 +174,44 @@ def test_files_to_matrix(spark, tmp_path):
     assert (matrix[2].label, matrix[2].gender, matrix[2].age_range) == (None, "unknown", "unknown")
     # One click against none in the other pair, capped at the 95th percentile of both.
     assert matrix[1].um_click == pytest.approx(np.percentile([1, 0], 95))
+
+
+def test_training_ends_after_the_patience_and_keeps_the_best_round(small_matrix):
+    model = models.RepurchaseModel(small_matrix, models.BoostParams(depth=3, step=0.5, patience=3))
+    model.fit(num_boost_round=40)
+    assert model.best_round == model.model.getNumTrees < 40
+    held = models.with_holdout(model.train).filter("is_valid").withColumn("weight", F.lit(1.0))
+    losses = model.model.evaluateEachIteration(held)
+    assert min(losses) == losses[-1]
+
+
+def test_labels_are_numbered_across_partitions(spark):
+    names = [f"n{i:04d}" for i in range(500)]
+    df = spark.createDataFrame([(n, None if i % 7 == 0 else n[-1]) for i, n in enumerate(names)], "a string, b string")
+    got = encoding.encode_labels(df.repartition(5)).collect()
+    assert sorted(r.a for r in got) == [float(i) for i in range(500)]
+    assert {r.b for r in got} == {float(i) for i in range(11)}
+
+
+def test_factors_of_wide_ids(make_log):
+    log = make_log([(10**12 + u, 10**13 + u % 3, 1, 1, 1, (5, 1), "click") for u in range(9)])
+    users, merchants = graph.factorise_pairs(log, rank=4)
+    assert {r.user_id for r in users.collect()} == {10**12 + u for u in range(9)}
+    assert merchants.columns == ["merchant_id", "m_als_0", "m_als_1", "m_als_2", "m_als_3"] and merchants.count() == 3
+
+
+def test_start_vectors_tell_nodes_apart(spark):
+    points = spark.range(5000).selectExpr("if(id % 2 = 0, 'user', 'merchant') as kind", "id")
+    vectors = graph.start_vectors(points)
+    assert vectors.select("v0", "v7").distinct().count() == 5000
+    assert abs(vectors.select(F.corr("v0", "v1")).first()[0]) < 0.1
+
+
+def test_scratch_is_dropped(spark, tmp_path, monkeypatch):
+    from tallycart import session
+
+    monkeypatch.setattr(session, "checkpoint_root", lambda spark: str(tmp_path))
+    session.stage(spark.range(3), "x")
+    assert any(tmp_path.rglob("*.parquet"))
+    session.drop_scratch(spark)
+    assert not any(tmp_path.rglob("*"))

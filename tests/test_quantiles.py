@@ -45,7 +45,7 @@ def expected(series: pd.Series, cap: float | None, bins: int):
 @pytest.mark.parametrize(("n", "seed"), [(500, 1), (40, 2), (9, 3), (3, 4)])
 @pytest.mark.parametrize("bins", [8, 16])
 def test_cap_then_bin_equals_pandas(spark, monkeypatch, run_values, n, seed, bins):
-    monkeypatch.setattr(quantiles, "RUN_VALUES", run_values)
+    monkeypatch.setattr(quantiles, "SLOT_VALUES", run_values)
     frame = columns(n, seed)
     names = list(frame)
     df = to_spark(spark, frame)
@@ -92,3 +92,12 @@ def test_tables_are_fitted_together(spark):
     together = quantiles.fit([(left, ["skewed"]), (right, ["ratio"])])
     apart = {**quantiles.fit([(left, ["skewed"])]), **quantiles.fit([(right, ["ratio"])])}
     assert together == apart
+
+
+def test_nan_is_missing_and_infinity_a_value(spark):
+    nan, inf = float("nan"), float("inf")
+    df = spark.createDataFrame([(x,) for x in (1.0, 2.0, 3.0, 4.0, nan, None, inf)], "x double")
+    capped = [r.x for r in quantiles.cap_values(df, ["x"], 75).collect()]
+    assert sorted(x for x in capped if x is not None) == [1.0, 2.0, 3.0, 4.0, 4.0] and capped.count(None) == 2
+    bins = [r.x_bin for r in quantiles.bin_values(df, ["x"], 2).collect()]
+    assert bins.count(None) == 2
