@@ -11,7 +11,7 @@ from catalog import CHECKS, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 # These all start from the full matrix, which matrix_full compares column by column.
-FROM_FULL = {"report_ranges", "prune_constant", "prune_empty", "prune_binned", "matrix_head"}
+FROM_FULL = {"report_ranges", "prune_constant", "prune_empty", "prune_binned", "matrix_head", "matrix_everything"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 
