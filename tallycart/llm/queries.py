@@ -113,6 +113,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "f.item_id",
         (F.col("f.covered") / F.col("f.size")).alias("coverage"),
         F.col("f.item_id").isNotNull().alias("contaminated"),
+        F.col("f.item_id").isNull().alias("kept"),
     )
 
 
