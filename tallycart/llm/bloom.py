@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tallycart.llm.batches import map_batches
 from tallycart.llm import words as W
 
 LOG_BITS = 26
@@ -74,7 +75,7 @@ def only_maybe(
                 yield rows
 
     run = chosen if then is None else lambda batches: then(chosen(batches))
-    return df.mapInArrow(run, schema or df.schema)
+    return map_batches(df, run, schema or df.schema)
 
 
 def without(docs: DataFrame, key: Column, gone: DataFrame) -> DataFrame:

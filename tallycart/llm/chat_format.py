@@ -31,6 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallycart.llm.batches import map_batches
 from tallycart.llm import words as W
 
 
@@ -118,7 +119,7 @@ def canonical_turns(records: DataFrame) -> DataFrame:
             )
 
     own = records.select(F.col("conv_id").cast("long").alias("conv_id"), "record")
-    return own.mapInArrow(run, "conv_id long, turn long, role string, text string")
+    return own.transform(map_batches, run, "conv_id long, turn long, role string, text string")
 
 
 def unknown_records(records: DataFrame) -> DataFrame:
@@ -129,7 +130,7 @@ def unknown_records(records: DataFrame) -> DataFrame:
         for batch in W.pieces(batches):
             yield batch.filter(pa.array([turns_of(r) is None for r in batch.column(at).to_pylist()], pa.bool_()))
 
-    return records.mapInArrow(run, records.schema)
+    return records.transform(map_batches, run, records.schema)
 
 
 BEGIN, END = "### ", " </turn>\n"
@@ -187,7 +188,7 @@ def format_chats(turns: DataFrame, most: int = 1 << 20) -> DataFrame:
         turns.repartition("conv_id")
         .sortWithinPartitions("conv_id", "turn", "role", "text")
         .select("conv_id", "role", "text")
-        .mapInArrow(run, _FORMATTED)
+        .transform(map_batches, run, _FORMATTED)
     )
 
 
@@ -232,5 +233,5 @@ def read_chats(formatted: DataFrame) -> DataFrame:
         formatted.repartition("conv_id")
         .sortWithinPartitions("conv_id", "part")
         .select("conv_id", "formatted", "loss")
-        .mapInArrow(run, _DIGESTS)
+        .transform(map_batches, run, _DIGESTS)
     )

@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallycart.llm.batches import map_batches
 from tallycart.llm import words as W
 from tallycart.llm.encoder import END, encoder
 
@@ -120,5 +121,5 @@ def pack_documents(docs: DataFrame, vocabulary: str, length: int = LENGTH, end:
         texts.select(dealt, "doc_id", "text")
         .repartition("group")
         .sortWithinPartitions("group", "doc_id", F.xxhash64("text"))
-        .mapInArrow(run, _PIECES)
+        .transform(map_batches, run, _PIECES)
     )

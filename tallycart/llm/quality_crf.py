@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallycart.llm.batches import map_batches
 from tallycart.llm import words as W
 
 SAMPLE = 1_000
@@ -210,7 +211,7 @@ def assess(docs: DataFrame, field: LineField) -> DataFrame:
             arrays = [pa.array(list(c), k) for c, k in zip(columns, kinds)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, _ASSESSED)
+    return docs.select(F.col("doc_id").cast("long"), "text").transform(map_batches, run, _ASSESSED)
 
 
 def keep_content(docs: DataFrame, field: LineField) -> DataFrame:
@@ -222,7 +223,7 @@ def keep_content(docs: DataFrame, field: LineField) -> DataFrame:
             texts = W.utf8(batch.column(at))
             yield batch.filter(pa.array([verdict(read_page(t), field)[3] for t in texts], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.transform(map_batches, run, docs.schema)
 
 
 def sample_lines(
@@ -245,8 +246,8 @@ def sample_lines(
             ]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "quality", "lines"])
 
-    rows = texts.select("doc_id", "text", F.col("quality").cast("int").alias("quality")).mapInArrow(
-        run, "doc_id long, quality int, lines array<double>"
+    rows = texts.select("doc_id", "text", F.col("quality").cast("int").alias("quality")).transform(
+        map_batches, run, "doc_id long, quality int, lines array<double>"
     )
     found = sorted((r.doc_id, r.lines, r.quality) for r in rows.collect())
     return [(np.asarray(x).reshape(-1, len(FEATURES)), q == 1) for _, x, q in found]

@@ -37,6 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallycart.llm.batches import map_batches
 from tallycart.llm import words as W
 from tallycart.llm.bloom import Bloom, only_maybe
 from tallycart.session import stage
@@ -118,7 +119,7 @@ def removal_intervals(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -
     One row for each input row that has a doc_id; ``intervals`` is null if nothing repeats.
     """
     texts = _texts(docs)
-    profile = stage(texts.mapInArrow(_profile(window, gram), _PROFILE), "profile")
+    profile = stage(texts.transform(map_batches, _profile(window, gram), _PROFILE), "profile")
 
     long = profile.filter(F.col("n_words") >= window)
     firsts = stage(long.groupBy("sequence").agg(F.min("doc_id").alias("first")), "firsts")
@@ -129,11 +130,13 @@ def removal_intervals(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -
     anchors = chosen.select(
         *KEY, "n_words", "starts", F.posexplode("anchors").alias("i", "anchor")
     ).select(*KEY, "anchor", F.expr("get(starts, i)").alias("first"), end.alias("last"))
-    shared = (
+    # Stored, as adaptive execution splits a hot key only in a join of plain tables.
+    shared = stage(
         anchors.groupBy("anchor")
         .agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
         .filter("lo < hi")
-        .select("anchor")
+        .select("anchor"),
+        "shared",
     )
     ranges = stage(
         anchors.join(shared, "anchor")
@@ -146,14 +149,15 @@ def removal_intervals(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -
     rows = stage(
         wanted.join(ranges, KEY)
         .select(*KEY, "text", "ranges")
-        .mapInArrow(_windows(window), "hash long, doc_id long, version long, place int"),
+        .transform(map_batches, _windows(window), "hash long, doc_id long, version long, place int"),
         "windows",
     )
-    least = (
+    least = stage(
         rows.groupBy("hash")
         .agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
         .filter("lo < hi")
-        .select("hash", "lo")
+        .select("hash", "lo"),
+        "least",
     )
     repeated = (
         rows.join(least, "hash")
@@ -222,4 +226,4 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> D
     # Texts that surely lose nothing stay where they are.
     moved = only_maybe(texts, "version", hit).join(found, KEY, "left")
     still = only_maybe(texts, "version", hit, wanted=False, then=_untouched, schema=_LEFT)
-    return moved.select("doc_id", "text", "intervals").mapInArrow(_apply, _LEFT).unionByName(still)
+    return moved.select("doc_id", "text", "intervals").transform(map_batches, _apply, _LEFT).unionByName(still)

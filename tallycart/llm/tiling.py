@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallycart.llm.batches import map_batches
 from tallycart.llm import words as W
 from tallycart.llm.bloom import Bloom, without
 from tallycart.session import stage
@@ -197,14 +198,15 @@ def contaminated(
     items = stage(
         benchmark.select(F.col("item_id").cast("long"), F.col("text").alias("item"))
         .filter("item_id is not null")
-        .mapInArrow(_item_seeds(least), "item_id long, item string, size int, seeds array<long>")
+        .transform(map_batches, _item_seeds(least), "item_id long, item string, size int, seeds array<long>")
         .filter("size > 0"),
         "items",
     )
     short = items.filter(F.col("size") < least).select("size").distinct().collect()  # fewer than least
     keyed = items.select("item_id", "item", F.explode("seeds").alias("seed"))
     hits = stage(
-        _texts(docs).mapInArrow(
+        _texts(docs).transform(
+            map_batches,
             _seeded(Bloom(keyed, "seed"), sorted({least, *(r.size for r in short)})),
             "doc_id long, version long, text string, seeds array<long>",
         ),
@@ -222,7 +224,7 @@ def contaminated(
         .alias("h")
         .join(candidates.alias("c"), same)
         .select("h.doc_id", "h.version", "text", "items")
-        .mapInArrow(_tiled(least, coverage), _FOUND)
+        .transform(map_batches, _tiled(least, coverage), _FOUND)
     )
 
 

@@ -27,6 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallycart.llm.batches import map_batches
 from tallycart.llm import words as W
 from tallycart.llm.encoder import END, encoder
 from tallycart.llm.files import array, written
@@ -64,14 +65,14 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end: int =
     parts = stage(
         texts.repartitionByRange("doc_id")
         .sortWithinPartitions("doc_id", F.xxhash64("text"))
-        .mapInArrow(fill, _PARTS),
+        .transform(map_batches, fill, _PARTS),
         "token-parts",
     )
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     # One short row for each file.
     bases = parts.select("part", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)).cast("long").alias("base"))
     placed = parts.join(bases, "part")
-    return stage(placed.mapInArrow(_index, "part int, path string, n_docs long, n_tokens long, base long"), "token-index")
+    return stage(placed.transform(map_batches, _index, "part int, path string, n_docs long, n_tokens long, base long"), "token-index")
 
 
 def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,5 +126,5 @@ def read_documents(parts: DataFrame) -> DataFrame:
     return (
         parts.select("path")
         .repartition(F.col("path"))
-        .mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+        .transform(map_batches, run, "doc_id long, start long, n_tokens long, ids_crc32 long")
     )

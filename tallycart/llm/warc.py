@@ -35,6 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallycart.llm.batches import map_batches
 from tallycart.llm.files import system, written
 from tallycart.session import stage
 
@@ -127,12 +128,12 @@ def read_entry(line: bytes) -> Entry:
 _RUNS = "path string, size long, n long, keys array<struct<key:string,time:string,page:long>>, offsets array<long>"
 
 
-def _write_run(path: str, entries: Iterable[Entry]) -> pa.RecordBatch:
+def _write_run(path: str, entries: Iterable[Entry], sparse: int) -> pa.RecordBatch:
     """Write sorted entries as a run; the row that describes it."""
     keys, offsets, size, n = [], [], 0, 0
     with written(path) as stream:
         for e in entries:
-            if n % SPARSE == 0:
+            if n % sparse == 0:
                 keys.append({"key": e[0], "time": e[1], "page": e[2]})
                 offsets.append(size)
             line = entry_line(e)
@@ -145,9 +146,11 @@ def _write_run(path: str, entries: Iterable[Entry]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names)
 
 
-def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0) -> DataFrame:
-    """Write the archives and their sorted runs; one row a run. ``pages``: page_id, url, html,
-    captured_at (timestamp)."""
+def write_archives(
+    pages: DataFrame, folder: str, min_bytes: int = 0, most: int = RUN, sparse: int = SPARSE
+) -> DataFrame:
+    """Write the archives and their sorted runs of at most ``most`` entries; one row a run.
+    ``pages``: page_id, url, html, captured_at (timestamp)."""
     own = pages.select(
         F.col("page_id").cast("long").alias("page_id"),
         "url",
@@ -174,15 +177,15 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0) -> DataFra
                     stream.write(data)
                     entries.append((url_key(url), time, page, f"{name}.warc.gz", offset, len(data)))
                     offset += len(data)
-                    if len(entries) >= RUN:
-                        yield _write_run(f"{name}.{runs:04d}.cdx", sorted(entries))
+                    if len(entries) >= most:
+                        yield _write_run(f"{name}.{runs:04d}.cdx", sorted(entries), sparse)
                         entries, runs = [], runs + 1
                 batch = next(batches, None)
         if entries:
-            yield _write_run(f"{name}.{runs:04d}.cdx", sorted(entries))
+            yield _write_run(f"{name}.{runs:04d}.cdx", sorted(entries), sparse)
 
     rows = marked.select("page_id", "url", "payload", "time", "refers_to")
-    return stage(rows.mapInArrow(fill, _RUNS), "runs")
+    return stage(rows.transform(map_batches, fill, _RUNS), "runs")
 
 
 class LoserTree:
@@ -256,24 +259,26 @@ _CAPTURES = (
 )
 
 
-def merge_index(runs: DataFrame, folder: str) -> DataFrame:
+def merge_index(
+    runs: DataFrame, folder: str, fan_in: int = FAN_IN, per_range: int = RANGE, sparse: int = SPARSE
+) -> DataFrame:
     """The captures in global order of (number, place): by URL key, time and page."""
     n_runs, total = runs.agg(F.count("*"), F.sum("n")).first()
     level = 0
-    while n_runs > FAN_IN:
+    while n_runs > fan_in:
         # Random groups of half the fan-in on average, each merged into one longer run.
-        groups, level = -(-2 * n_runs // FAN_IN), level + 1
+        groups, level = -(-2 * n_runs // fan_in), level + 1
 
         def longer(number: int, entries: Iterator[Entry], level: int = level) -> Iterator[pa.RecordBatch]:
-            yield _write_run(f"{folder}/merged-{level}-{number:06d}.cdx", entries)
+            yield _write_run(f"{folder}/merged-{level}-{number:06d}.cdx", entries, sparse)
 
         number = F.pmod(F.xxhash64("path"), F.lit(groups)).cast("int").alias("number")
         parts = runs.select(number, "path", F.lit(0).cast("long").alias("start"), F.col("size").alias("end"))
-        merged = parts.repartition("number").sortWithinPartitions("number", "path").mapInArrow(_merged(longer, []), _RUNS)
+        merged = parts.repartition("number").sortWithinPartitions("number", "path").transform(map_batches, _merged(longer, []), _RUNS)
         runs = stage(merged, "runs")
         n_runs = runs.count()
 
-    ranges = min(MAX_RANGES, max(1, (total or 0) // RANGE))
+    ranges = min(MAX_RANGES, max(1, (total or 0) // per_range))
     noted = runs.select(F.explode("keys").alias("k")).select("k.*")
     drawn = noted.orderBy(F.xxhash64("key", "time", "page")).limit(DRAWN * ranges).collect()  # DRAWN * MAX_RANGES at most
     keys = sorted({tuple(r) for r in drawn})
@@ -314,11 +319,11 @@ def merge_index(runs: DataFrame, folder: str) -> DataFrame:
         if part:
             yield batch()
 
-    parts = runs.mapInArrow(slices, "number int, path string, start long, end long")
+    parts = runs.transform(map_batches, slices, "number int, path string, start long, end long")
     return (
         parts.repartition("number")
         .sortWithinPartitions("number", "path")
-        .mapInArrow(_merged(captures, cuts), _CAPTURES)
+        .transform(map_batches, _merged(captures, cuts), _CAPTURES)
     )
 
 
@@ -361,4 +366,4 @@ def read_archives(archives: DataFrame) -> DataFrame:
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
-    return archives.select("archive").repartition("archive").mapInArrow(run, _READ)
+    return archives.select("archive").repartition("archive").transform(map_batches, run, _READ)

@@ -104,9 +104,7 @@ def test_packing(monkeypatch, make_docs, odd_docs, tokenizer):
 PAGES = "page_id long, url string, html string, captured_at timestamp, sum string, offset long"
 
 
-def test_archives_and_index(spark, monkeypatch, tmp_path):
-    for name, value in (("RUN", 7), ("SPARSE", 2), ("FAN_IN", 4), ("RANGE", 9)):
-        monkeypatch.setattr(warc, name, value)
+def test_archives_and_index(spark, tmp_path):
     rnd = random.Random(8)
     rows = []
     for i in range(150):
@@ -118,10 +116,11 @@ def test_archives_and_index(spark, monkeypatch, tmp_path):
         "page_id", "url", "html", F.timestamp_seconds("t").alias("captured_at"), F.lit("s").alias("sum"), F.lit(1).alias("offset")
     )
     folder = str(tmp_path / "w")
-    runs = warc.write_archives(frame.repartition(3), folder)
-    captures = warc.merge_index(runs, folder).orderBy("number", "place").collect()
+    runs = warc.write_archives(frame.repartition(3), folder, most=7, sparse=2)
+    assert runs.count() > 20
+    captures = warc.merge_index(runs, folder, fan_in=4, per_range=9, sparse=2).orderBy("number", "place").collect()
     keys = [(r.url_key, r.captured_at, r.page_id) for r in captures]
-    assert keys == sorted(keys) and len(keys) == 151 and len({r.number for r in captures}) > 3
+    assert keys == sorted(keys) and len(keys) == 151 and len({r.number for r in captures}) > 9
     archives = runs.select(F.regexp_replace("path", r"\.\d{4}\.cdx$", ".warc.gz").alias("archive")).distinct()
     records = warc.read_archives(archives).collect()
     assert {(r.archive, r.offset) for r in records} == {(r.archive, r.offset) for r in captures}
