@@ -58,10 +58,13 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
         .groupBy("h", "g", "doc_id")
         .agg(F.min("place").alias("first"))
     )
-    common = (
+    # Stored, as adaptive execution splits a hot key only in a join of plain tables.
+    common = stage(
         firsts.groupBy("h", "g")
         .agg(F.count("*").alias("n"), F.max("doc_id").alias("last"))
         .filter(F.col("n") >= min_docs)
+        .select("h", "g", "last"),
+        "common",
     )
     dropped = (
         found.join(common, ["h", "g"])
