@@ -58,10 +58,13 @@ class Encoder:
         """One array of ids for each text; a null text is empty."""
         parts = [self._parts(text or "") for text in texts]
         self._encode_units()
-        return [
-            np.frombuffer(b"".join(found), self.kind) if found is not None else self._whole(text)
-            for found, text in zip(parts, texts)
-        ]
+        return [self._joined(found, text or "") for found, text in zip(parts, texts)]
+
+    def _joined(self, found: list | None, text: str) -> np.ndarray:
+        try:
+            return np.frombuffer(b"".join(found), self.kind)
+        except TypeError:  # a part of it, or all, is no unit
+            return self._whole(text)
 
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind)
@@ -75,8 +78,7 @@ class Encoder:
                 self.firsts.clear()
             plain = first == "" or not (first[0].isspace() or first[-1].isspace())
             self.firsts[first] = self._whole(first).tobytes() if plain else None
-        found = [self.firsts[first], *map(self.units.__getitem__, rest)]
-        return None if None in found else found
+        return [self.firsts[first], *map(self.units.__getitem__, rest)]
 
     def _encode_units(self, at_once: int = 2_000) -> None:
         """Fill in the units met for the first time, many in one call."""
@@ -90,12 +92,14 @@ class Encoder:
             cuts = np.searchsorted(reached, ends)
             if len(reached) and cuts[-1] < len(reached) and np.array_equal(reached[cuts], ends):
                 begin = 0
-                for (_, place), cut in zip(some, (cuts + 1).tolist()):
-                    place += ids[begin:cut].tobytes()
+                for (unit, place), cut in zip(some, (cuts + 1).tolist()):
+                    self.units[unit] = found = ids[begin:cut].tobytes()
+                    place += found
                     begin = cut
             else:
-                for (_, place), text in zip(some, texts):
-                    place += self._whole(text).tobytes()
+                for (unit, place), text in zip(some, texts):
+                    self.units[unit] = found = self._whole(text).tobytes()
+                    place += found
         if len(self.units) >= self.units.limit:
             self.units.clear()
 
