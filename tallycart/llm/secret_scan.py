@@ -25,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallycart.session import stage
+
 SCOPE = 200
 KEY = ["doc_id", "version"]
 # Kinds in the order in which spans with one start are listed, each with its
@@ -122,7 +124,8 @@ def link_parts(parts: DataFrame, scope: int = SCOPE) -> DataFrame:
 
 def scan(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     """doc_id, the number of each base kind, and the base and all spans as text, of every row."""
-    parts = find_parts(docs)
+    # Stored: the texts are scanned once, and the join reads the few parts.
+    parts = stage(find_parts(docs), "parts")
     told = parts.filter(F.col("kind") < BASE).unionByName(link_parts(parts, scope))
     names = F.array(*[F.lit(k[0]) for k in KINDS])
 
