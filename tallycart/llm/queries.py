@@ -197,8 +197,10 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     captures = warc.merge_index(runs, folder)
     archives = runs.select(F.regexp_replace("path", r"\.\d{4}\.cdx$", ".warc.gz").alias("archive")).distinct()
     records = warc.read_archives(archives)
-    # The records that the merged index names.
-    return records.join(captures.select("archive", "offset"), ["archive", "offset"]).drop("archive", "offset")
+    # The records that the merged index names. The entries compress so well that adaptive
+    # execution would take them for a small table and broadcast them.
+    named = captures.select("archive", "offset").hint("merge")
+    return records.join(named, ["archive", "offset"]).drop("archive", "offset")
 
 
 CONTROL = r"(\\|###|</turn>)"
