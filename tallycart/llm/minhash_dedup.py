@@ -11,15 +11,16 @@ shorter text is one shingle). Two documents are linked if 100 * |A & B| >= 75 *
 * Sketch: of each minimum only the low ``BITS`` bits are kept, packed into longs. The
   similarity of candidates is estimated from the count of equal groups of bits,
   corrected for groups that agree by chance; a pair goes on unless its estimate is
-  ``MARGIN`` below the threshold (seven standard deviations).
+  ``MARGIN`` below the threshold (4.6 standard deviations, about 2 in a million).
+  Buckets carry the sketches, so that this happens within the join that pairs them.
 * Proof: the texts of a pair are brought together and their full sets compared.
 
 Large groups of near copies would make a number of pairs that grows with the square of
 the group. Only components are asked for, so pairs within one component need no look.
-Each round links a bucket's members to one centre, another one in each round, and
-merges what is proven. Once few pairs of different components are left in any bucket,
-or a round has merged nothing, all of these are looked at: no pair of a bucket goes
-unseen unless its two documents are connected already.
+Each round compares a bucket's members with ``CENTRES`` of them, others in each round, and
+merges what is proven. Once the buckets have no more pairs of different components than
+rows, or a round has merged nothing, all those pairs are looked at: no pair of a
+bucket goes unseen unless it is connected already.
 
 Defined results. A row without ``doc_id`` can't be named and is left out. Null or empty
 text, or text without words, has an empty set and is linked with nothing. Rows that
@@ -38,6 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallycart.llm.batches import map_batches
 from tallycart.llm import words as W
 from tallycart.llm.bloom import Bloom, only_maybe, without
 from tallycart.llm.components import components
@@ -47,8 +49,10 @@ SHINGLE = 5
 PERCENT = 75
 BANDS = 40
 ROWS = 4
-BITS = 4
-MARGIN = 0.25
+BITS = 2
+MARGIN = 0.19
+CENTRES = 2
+KEY = ["doc_id", "version"]
 PER_LONG = 64 // BITS
 
 _RNG = np.random.default_rng(20240229)
@@ -173,7 +177,7 @@ def links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         .select("a", "b", "doc_id", "text")
         .repartition("a", "b")
         .sortWithinPartitions("a", "b", "doc_id")
-        .mapInArrow(_prove, "a long, b long")
+        .transform(map_batches, _prove, "a long, b long")
     )
 
 
@@ -182,7 +186,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     texts = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("version"), F.col("text")
     ).filter("doc_id is not null")
-    profile = stage(texts.mapInArrow(_profile, _PROFILE), "profile")
+    profile = stage(texts.transform(map_batches, _profile, _PROFILE), "profile")
     full = profile.filter("n_shingles > 0")
     classes = stage(
         full.groupBy("digest").agg(F.min(F.struct("doc_id", "version")).alias("least")).select("digest", "least.*"),
@@ -190,20 +194,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     # One row stands for a class, and one class for an id that several rows share.
     heads = classes.groupBy("doc_id").agg(F.min("version").alias("version"))
-    chosen = full.join(heads, ["doc_id", "version"], "left_semi").select("doc_id", "version", "bands", "sketch")
-    members = chosen.select("doc_id", F.explode("bands").alias("key"))
+    chosen = full.join(heads, KEY, "left_semi").select("doc_id", "version", "bands", "sketch")
+    members = chosen.select("doc_id", "sketch", F.explode("bands").alias("key"))
     crowded = members.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
-    live = stage(members.join(crowded, "key").select("key", "doc_id"), "buckets")
-    sketches = stage(
-        chosen.join(live.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "version", "sketch"),
-        "sketches",
-    )
+    live = stage(members.join(crowded, "key").select("key", "doc_id", "sketch"), "buckets")
     # Only the texts that have a candidate are moved.
-    some = only_maybe(texts, "version", Bloom(sketches, "version"))
-    bodies = stage(
-        some.join(sketches, ["doc_id", "version"], "left_semi").select("doc_id", "text"), "texts"
-    )
-    merged = _merge(live, sketches.drop("version"), bodies)
+    paired = stage(chosen.join(live.select("doc_id").distinct(), "doc_id", "left_semi").select(*KEY), "paired")
+    some = only_maybe(texts, "version", Bloom(paired, "version"))
+    bodies = stage(some.join(paired, KEY, "left_semi").select("doc_id", "text"), "texts")
+    merged = _merge(live, bodies)
     named = classes.join(
         merged.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left"
     ).select("digest", F.coalesce("component", "doc_id").alias("component_id"))
@@ -222,59 +221,49 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     return without(docs, F.xxhash64(F.col("doc_id").cast("long")), gone.select("key"))
 
 
-def _merge(live: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFrame:
-    """(node, component) of the classes that have a link."""
-    spark = live.sparkSession
-    merged = spark.createDataFrame([], "node long, component long")
-    seen = spark.createDataFrame([], "a long, b long")
-    count, turn, last = live.count(), 0, False
-    while count:
-        named = live.join(merged, live["doc_id"] == merged["node"], "left").select(
-            "key", "doc_id", F.coalesce("component", "doc_id").alias("component")
-        )
-        turn += 1
-        if not last:
-            mixed = named.groupBy("key").agg(
-                F.min_by(F.struct("doc_id", "component"), F.xxhash64("doc_id", F.lit(turn))).alias("centre"),
-                F.min("component").alias("lo"),
-                F.max("component").alias("hi"),
-            ).filter("lo < hi")
-            met = named.join(mixed, "key").filter("component <> centre.component").select(
-                F.col("doc_id").alias("x"), F.col("centre.doc_id").alias("y")
+def _merge(live: DataFrame, texts: DataFrame) -> DataFrame:
+    """(node, component) of the classes that have a link. ``live``: key, doc_id, sketch."""
+    count, turn, stuck = live.count(), 0, False
+    named, merged = live.withColumn("component", F.col("doc_id")), None
+    while True:
+        order = [F.xxhash64("doc_id", F.lit(CENTRES * turn + i)) for i in range(CENTRES)]
+        candidates = [F.min(F.struct(o.alias("o"), "doc_id", "sketch")).alias(f"m{i}") for i, o in enumerate(order)]
+        least = [F.min(F.struct(f"m{i}.o", f"m{i}.doc_id", "component", f"m{i}.sketch")) for i in range(CENTRES)]
+        mixed = stage(
+            named.groupBy("key", "component")
+            .agg(F.count("*").cast("double").alias("n"), *candidates)
+            .groupBy("key")
+            .agg(
+                F.array(*least).alias("centres"),
+                F.sum("n").alias("n"),
+                F.sum(F.col("n") * F.col("n")).alias("squares"),
+                F.count("*").alias("components"),
             )
-        else:
-            other = named.select("key", F.col("doc_id").alias("y"), F.col("component").alias("theirs"))
-            met = named.join(other, "key").filter("component < theirs").select(F.col("doc_id").alias("x"), "y")
-        pairs = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        pairs = pairs.join(seen, ["a", "b"], "left_anti")
-        left = sketches.select(F.col("doc_id").alias("a"), F.col("sketch").alias("p"))
-        right = sketches.select(F.col("doc_id").alias("b"), F.col("sketch").alias("q"))
-        near = stage(
-            pairs.join(left, "a").join(right, "b").filter(F.expr(estimate("p", "q")) >= PERCENT / 100 - MARGIN).select("a", "b"),
-            "pairs",
+            .filter("components > 1")
+            .select("key", ((F.col("n") * F.col("n") - F.col("squares")) / 2).alias("pairs"), "centres"),
+            "mixed",
         )
-        linked = stage(links(near, texts), "links")
-        if linked.head() is None:
-            if last:
-                return merged
-            last = True
-            continue
-        edges = linked.union(merged.select("component", "node").toDF("a", "b"))
-        merged = stage(components(edges), "components")
+        # The pairs of different components that are left in all buckets.
+        last = stuck or (mixed.agg(F.sum("pairs")).first()[0] or 0) <= count
         if last:
-            return merged
-        seen = stage(seen.union(near), "seen")
-        last = _few_left(live, merged, count)
-    return merged
-
-
-def _few_left(live: DataFrame, merged: DataFrame, count: int) -> bool:
-    """Whether the buckets have no more pairs of different components than rows."""
-    sizes = (
-        live.join(merged, live["doc_id"] == merged["node"], "left")
-        .groupBy("key", F.coalesce("component", "doc_id").alias("component"))
-        .agg(F.count("*").alias("n"))
-        .groupBy("key")
-        .agg(((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs"))
-    )
-    return (sizes.agg(F.sum("pairs")).first()[0] or 0) <= count
+            rows = named.join(mixed.select("key"), "key", "left_semi")
+            others = rows.select("key", F.struct("doc_id", "component", "sketch").alias("c"))
+            different = "component < c.component"
+        else:
+            rows, others = named, mixed.select("key", F.explode(F.array_distinct("centres")).alias("c"))
+            different = "component <> c.component"
+        alike = F.expr(estimate("sketch", "c.sketch")) >= PERCENT / 100 - MARGIN
+        met = rows.join(others.withColumnRenamed("key", "k"), (F.col("key") == F.col("k")) & F.expr(different) & alike)
+        near = met.select(F.least("doc_id", "c.doc_id").alias("a"), F.greatest("doc_id", "c.doc_id").alias("b"))
+        linked = stage(links(stage(near.distinct(), "pairs"), texts), "links")
+        stuck = linked.head() is None
+        if not stuck:
+            known = linked if merged is None else linked.union(merged.select("component", "node").toDF("a", "b"))
+            merged = stage(components(known), "components")
+        if last:
+            return merged if merged is not None else linked.toDF("node", "component")
+        if not stuck:
+            found = live.join(merged, live["doc_id"] == merged["node"], "left")
+            component = F.coalesce("component", "doc_id").alias("component")
+            named = stage(found.select("key", "doc_id", "sketch", component), "named")
+        turn += 1
