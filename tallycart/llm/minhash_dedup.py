@@ -4,7 +4,7 @@ A document's set holds its distinct five-word shingles (ASCII letters lower-case
 shorter text is one shingle). Two documents are linked if 100 * |A & B| >= 75 * |A | B|.
 
 * Copies first: documents with equal sets form a class, and only the class's smallest id
-  goes on. A group of copies of any size costs one row.
+  goes on, with the hash of its text there. A group of copies of any size costs one row.
 * Signature: ``BANDS * ROWS`` minima. Each band's minima hash to one key; documents that
   share a key are candidates. A link at the threshold is missed with a chance of
   (1 - 0.75**4)**40, about 2 in 10 million, closer ones with less.
@@ -24,9 +24,8 @@ bucket goes unseen unless it is connected already.
 
 Defined results. A row without ``doc_id`` can't be named and is left out. Null or empty
 text, or text without words, has an empty set and is linked with nothing. Rows that
-repeat a ``doc_id`` are separate rows, of which one stands for the links that the id has
-of its own; a row with the set of another document also gets that one's component.
-Other columns are not looked at.
+repeat a ``doc_id`` are one document: each has the links of its own text, and all are in
+one component, those with an empty set too. Other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -53,6 +52,7 @@ BITS = 2
 MARGIN = 0.19
 CENTRES = 2
 KEY = ["doc_id", "version"]
+PAIR = ["a", "av", "b", "bv"]
 PER_LONG = 64 // BITS
 
 _RNG = np.random.default_rng(20240229)
@@ -135,7 +135,8 @@ def estimate(a: str, b: str) -> str:
 
 
 def _prove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (a, b, doc_id, text), those of a pair in succession, to the pairs that are linked."""
+    """Rows (a, av, b, bv, doc_id, text), those of a pair in succession, to the pairs that are
+    linked. The ids of a pair differ."""
     recent: dict[bytes, np.ndarray] = {}
     pair: tuple | None = None
     texts: dict[int, bytes] = {}
@@ -149,10 +150,10 @@ def _prove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in W.pieces(batches):
         linked = []
-        ends = zip(*(batch.column(i).to_pylist() for i in range(3)))
-        for (a, b, doc), text in zip(ends, W.utf8(batch.column(3))):
-            if pair != (a, b):
-                pair, texts = (a, b), {}
+        ends = zip(*(batch.column(i).to_pylist() for i in range(5)))
+        for (a, av, b, bv, doc), text in zip(ends, W.utf8(batch.column(5))):
+            if pair != (a, av, b, bv):
+                pair, texts = (a, av, b, bv), {}
             if doc in texts:
                 continue
             texts[doc] = text
@@ -160,23 +161,24 @@ def _prove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 x, y = members(texts[a]), members(texts[b])
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 if 100 * both >= PERCENT * (len(x) + len(y) - both):
-                    linked.append(pair)
+                    linked.append((a, b))
         columns = [pa.array([p[i] for p in linked], pa.int64()) for i in (0, 1)]
         yield pa.RecordBatch.from_arrays(columns, ["a", "b"])
 
 
 def links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are linked. ``texts``: doc_id, text.
+    """The ids (a, b) of the pairs that are linked. ``pairs``: a, av, b, bv, two ids with
+    the versions that are meant; ``texts``: doc_id, version, text.
 
     The two texts of a pair meet under the pair's own key, so however many pairs a
     document is in, they spread over all tasks.
     """
-    ends = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("doc_id"))
+    end = F.explode(F.expr("array(struct(a as doc_id, av as version), struct(b as doc_id, bv as version))"))
     return (
-        ends.join(texts, "doc_id")
-        .select("a", "b", "doc_id", "text")
-        .repartition("a", "b")
-        .sortWithinPartitions("a", "b", "doc_id")
+        pairs.select(*PAIR, end.alias("e")).select(*PAIR, "e.*").join(texts, KEY)
+        .select(*PAIR, "doc_id", "text")
+        .repartition(*PAIR)
+        .sortWithinPartitions(*PAIR, "doc_id")
         .transform(map_batches, _prove, "a long, b long")
     )
 
@@ -192,27 +194,45 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         full.groupBy("digest").agg(F.min(F.struct("doc_id", "version")).alias("least")).select("digest", "least.*"),
         "classes",
     )
-    # One row stands for a class, and one class for an id that several rows share.
-    heads = classes.groupBy("doc_id").agg(F.min("version").alias("version"))
-    chosen = full.join(heads, KEY, "left_semi").select("doc_id", "version", "bands", "sketch")
-    members = chosen.select("doc_id", "sketch", F.explode("bands").alias("key"))
+    # One row stands for a class; an id can stand for several.
+    chosen = full.join(classes, KEY, "left_semi").select(*KEY, "bands", "sketch")
+    members = chosen.select(*KEY, "sketch", F.explode("bands").alias("key"))
     crowded = members.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
-    live = stage(members.join(crowded, "key").select("key", "doc_id", "sketch"), "buckets")
+    live = stage(members.join(crowded, "key").select("key", *KEY, "sketch"), "buckets")
     # Only the texts that have a candidate are moved.
-    paired = stage(chosen.join(live.select("doc_id").distinct(), "doc_id", "left_semi").select(*KEY), "paired")
+    paired = stage(live.select(*KEY).distinct(), "paired")
     some = only_maybe(texts, "version", Bloom(paired, "version"))
-    bodies = stage(some.join(paired, KEY, "left_semi").select("doc_id", "text"), "texts")
-    merged = _merge(live, bodies)
-    named = classes.join(
-        merged.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left"
-    ).select("digest", F.coalesce("component", "doc_id").alias("component_id"))
+    bodies = stage(some.join(paired, KEY, "left_semi").select(*KEY, "text"), "texts")
+    heads = classes.select("digest", F.col("doc_id").alias("head"))
+    rows = stage(
+        profile.select("doc_id", "n_shingles", "digest").join(heads, "digest", "left").drop("digest"), "rows"
+    )
+    merged = _merge(live, bodies, _same_id(rows)).withColumnRenamed("node", "head")
     return (
-        profile.select("doc_id", "n_shingles", "digest")
-        .join(named, "digest", "left")
-        .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+        rows.withColumn("head", F.coalesce("head", "doc_id"))
+        .join(merged, "head", "left")
+        .select("doc_id", "n_shingles", F.coalesce("component", "head").alias("component_id"))
     )
 
 
+def _same_id(rows: DataFrame) -> DataFrame | None:
+    """(node, component) by the ids whose rows are in several classes. ``rows``: doc_id, and
+    head, the id that stands for the row's class (null without one)."""
+    several = (
+        rows.groupBy("doc_id")
+        .agg(
+            F.min("head").alias("lo"),
+            F.max("head").alias("hi"),
+            (F.count("*") > F.count("head")).alias("without"),
+        )
+        .filter("lo <> hi or without and lo <> doc_id")
+        .select("doc_id")
+    )
+    edges = rows.join(stage(several, "several"), "doc_id", "left_semi").filter("head <> doc_id")
+    edges = stage(edges.select(F.col("doc_id").alias("a"), F.col("head").alias("b")).distinct(), "same_id")
+    return None if edges.head() is None else stage(components(edges), "components")
+
+
 def one_of_each(docs: DataFrame) -> DataFrame:
     """Of each component the document with the smallest id, with all its columns. Rows that
     repeat an id stay or go together; rows without an id stay."""
@@ -221,14 +241,24 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     return without(docs, F.xxhash64(F.col("doc_id").cast("long")), gone.select("key"))
 
 
-def _merge(live: DataFrame, texts: DataFrame) -> DataFrame:
-    """(node, component) of the classes that have a link. ``live``: key, doc_id, sketch."""
+def _merge(live: DataFrame, texts: DataFrame, merged: DataFrame | None) -> DataFrame:
+    """(node, component) of the ids that have a link. ``live``: key, doc_id, version, sketch.
+    ``merged``: what is known before, in the same form, if anything is."""
+
+    def name(merged: DataFrame) -> DataFrame:
+        found = live.join(merged, live["doc_id"] == merged["node"], "left")
+        component = F.coalesce("component", "doc_id").alias("component")
+        return stage(found.select("key", *KEY, "sketch", component), "named")
+
     count, turn, stuck = live.count(), 0, False
-    named, merged = live.withColumn("component", F.col("doc_id")), None
+    named = live.withColumn("component", F.col("doc_id")) if merged is None else name(merged)
     while True:
-        order = [F.xxhash64("doc_id", F.lit(CENTRES * turn + i)) for i in range(CENTRES)]
-        candidates = [F.min(F.struct(o.alias("o"), "doc_id", "sketch")).alias(f"m{i}") for i, o in enumerate(order)]
-        least = [F.min(F.struct(f"m{i}.o", f"m{i}.doc_id", "component", f"m{i}.sketch")) for i in range(CENTRES)]
+        order = [F.xxhash64(*KEY, F.lit(CENTRES * turn + i)) for i in range(CENTRES)]
+        candidates = [F.min(F.struct(o.alias("o"), *KEY, "sketch")).alias(f"m{i}") for i, o in enumerate(order)]
+        least = [
+            F.min(F.struct(f"m{i}.o", f"m{i}.doc_id", f"m{i}.version", "component", f"m{i}.sketch"))
+            for i in range(CENTRES)
+        ]
         mixed = stage(
             named.groupBy("key", "component")
             .agg(F.count("*").cast("double").alias("n"), *candidates)
@@ -247,14 +277,16 @@ def _merge(live: DataFrame, texts: DataFrame) -> DataFrame:
         last = stuck or (mixed.agg(F.sum("pairs")).first()[0] or 0) <= count
         if last:
             rows = named.join(mixed.select("key"), "key", "left_semi")
-            others = rows.select("key", F.struct("doc_id", "component", "sketch").alias("c"))
+            others = rows.select("key", F.struct(*KEY, "component", "sketch").alias("c"))
             different = "component < c.component"
         else:
             rows, others = named, mixed.select("key", F.explode(F.array_distinct("centres")).alias("c"))
             different = "component <> c.component"
         alike = F.expr(estimate("sketch", "c.sketch")) >= PERCENT / 100 - MARGIN
         met = rows.join(others.withColumnRenamed("key", "k"), (F.col("key") == F.col("k")) & F.expr(different) & alike)
-        near = met.select(F.least("doc_id", "c.doc_id").alias("a"), F.greatest("doc_id", "c.doc_id").alias("b"))
+        own, other = F.struct(*KEY), F.struct("c.doc_id", "c.version")
+        ends = met.select(F.least(own, other).alias("x"), F.greatest(own, other).alias("y"))
+        near = ends.select("x.*", "y.*").toDF(*PAIR)
         linked = stage(links(stage(near.distinct(), "pairs"), texts), "links")
         stuck = linked.head() is None
         if not stuck:
@@ -263,7 +295,5 @@ def _merge(live: DataFrame, texts: DataFrame) -> DataFrame:
         if last:
             return merged if merged is not None else linked.toDF("node", "component")
         if not stuck:
-            found = live.join(merged, live["doc_id"] == merged["node"], "left")
-            component = F.coalesce("component", "doc_id").alias("component")
-            named = stage(found.select("key", "doc_id", "sketch", component), "named")
+            named = name(merged)
         turn += 1

@@ -72,6 +72,34 @@ def test_near_duplicates_odd_tables(make_docs, odd_docs):
     assert minhash_dedup.near_duplicates(make_docs([(1, None), (2, "")])).count() == 2
 
 
+def by_id(rows):
+    """The rows' shingle counts with the component of their id."""
+    return Counter((r.doc_id, r.n_shingles, r.component_id) for r in rows)
+
+
+def brute_by_id(docs):
+    named = brute_components(docs)
+    return Counter((i, len(shingle_set(t)), named[i][1]) for i, t in docs)
+
+
+@pytest.mark.parametrize("hot", [0, 40])
+def test_near_duplicates_with_repeated_ids(make_docs, odd_docs, hot):
+    """Every text has its own links, whichever of an id's texts hashes lower."""
+    rnd = random.Random(8)
+    docs = [d for d in odd_docs if d[0] != 80] + [(91, None), (70, "one"), (6, ""), (6, odd_docs[0][1])]
+    for i in range(1000, 1040, 4):  # (1, A), (1, B), a near copy of each, a copy of B
+        texts = [sentence(rnd, 90), sentence(rnd, 90)]
+        docs += [(i, t) for t in texts] + [(i + 1 + k, f"{t} more") for k, t in enumerate(texts)] + [(i + 3, texts[1])]
+    for i in range(hot):  # one id with many texts, each with a near copy
+        text = sentence(rnd, 60)
+        docs += [(2000, text), (2001 + i, f"{text} more"), (2001 + i, sentence(rnd, 20))]
+    rnd.shuffle(docs)
+    got = minhash_dedup.near_duplicates(make_docs(docs)).collect()
+    assert by_id(got) == brute_by_id(docs)
+    left = {r.doc_id for r in minhash_dedup.one_of_each(make_docs(docs)).collect()}
+    assert left == {i for i, (_, c) in brute_components(docs).items() if i == c}
+
+
 def test_one_of_each(make_docs, some_docs):
     docs = make_docs([*some_docs, (None, "no id")])
     left = minhash_dedup.one_of_each(docs)
