@@ -2,7 +2,9 @@
 
 * A record's fingerprint is the hash of its nested field paths, as far as some layout
   knows them. It selects a declarative mapping: where the turns are, and where role and
-  text are within them. A layout is added by a line in ``LAYOUTS``, not by code.
+  text are within them. Every combination of known paths has one, if the paths of some
+  layout are all in it: the layout with most paths, of equals the first in ``LAYOUTS``.
+  A layout is added by a line there, not by code.
 * The template puts ``### role: `` before a turn and `` </turn>`` behind it. Control strings
   within roles and texts get a backslash, and so do backslashes, so the
   output can be read back exactly. The loss mask covers the assistant's texts.
@@ -12,8 +14,10 @@
 
 Defined results. A null text or role is empty. A null conversation id is an id of its own. Rows with
 one turn number are ordered by role, then text; repeated rows are repeated turns. A record
-that isn't JSON, or has no known layout, gives no turns (``unknown_records`` lists those). An
-empty table has no output. Other columns and fields are not looked at.
+that isn't JSON, or has no known layout, gives no turns; ``read_records`` returns those beside
+the turns. A list of turns with an element that isn't an object, or a turn number that isn't a
+64-bit integer or null, is not of its layout. An empty table has no output. Other columns, and
+fields that the record's layout doesn't name, are not looked at.
 """
 
 from __future__ import annotations
@@ -80,32 +84,63 @@ def fingerprint(found: set[str]) -> int:
     return xxhash.xxh3_64_intdigest("\n".join(sorted(found & KNOWN)))
 
 
-BY_FINGERPRINT = {fingerprint(set(layout.paths)): layout for layout in LAYOUTS.values()}
+# Filled as combinations occur; there are no more of them than subsets of KNOWN.
+BY_FINGERPRINT: dict[int, list[Layout]] = {}
+
+
+def layouts_of(found: set[str]) -> list[Layout]:
+    """The layouts whose paths are all among ``found``: most paths first, then in the order
+    of ``LAYOUTS``."""
+    key = fingerprint(found)
+    if key not in BY_FINGERPRINT:
+        own = [layout for layout in LAYOUTS.values() if found.issuperset(layout.paths)]
+        BY_FINGERPRINT[key] = sorted(own, key=lambda layout: -len(layout.paths))
+    return BY_FINGERPRINT[key]
 
 
 def _string(value: Any) -> str:
     return "" if value is None else value if isinstance(value, str) else json.dumps(value)
 
 
+def _turns(layout: Layout, found: dict) -> list[tuple[int | None, str, str]] | None:
+    """The turns of a record that has the layout's paths, or None if its values don't fit."""
+    if layout.turns is None and not found.keys() >= set(layout.paths):
+        return None  # a nested field whose path reads the same, below an empty name
+    if layout.fixed:
+        return [(i, role, _string(found[path])) for i, (role, path) in enumerate(layout.fixed)]
+    if layout.turns is None:
+        number = found[layout.number]
+        if number is not None and not (type(number) is int and -(1 << 63) <= number < 1 << 63):
+            return None
+        return [(number, _string(found[layout.role]), _string(found[layout.text]))]
+    own = found.get(layout.turns)
+    if not isinstance(own, list) or not all(isinstance(t, dict) for t in own):
+        return None
+    parts = [(_string(t.get(layout.role)), _string(t.get(layout.text))) for t in own]
+    return [(i, ROLES.get(role, role), text) for i, (role, text) in enumerate(parts)]
+
+
 def turns_of(record: str | None) -> list[tuple[int | None, str, str]] | None:
     """(turn number, role, text) of a JSON record, or None if its layout isn't known."""
     try:
         found = json.loads(record or "")
     except ValueError:
         return None
-    layout = BY_FINGERPRINT.get(fingerprint(paths(found)))
-    if layout is None:
-        return None
-    if layout.fixed:
-        return [(i, role, _string(found[path])) for i, (role, path) in enumerate(layout.fixed)]
-    if layout.turns is None:
-        return [(found[layout.number], _string(found[layout.role]), _string(found[layout.text]))]
-    parts = [(_string(t.get(layout.role)), _string(t.get(layout.text))) for t in found[layout.turns]]
-    return [(i, ROLES.get(role, role), text) for i, (role, text) in enumerate(parts)]
+    for layout in layouts_of(paths(found)):
+        turns = _turns(layout, found)
+        if turns is not None:
+            return turns
+    return None
+
+
+def read_records(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The turns, and beside them the records that gave none: each record is in one of them."""
+    return canonical_turns(records), unknown_records(records)
 
 
 def canonical_turns(records: DataFrame) -> DataFrame:
-    """(conv_id, record: JSON text) to conv_id, turn, role, text."""
+    """(conv_id, record: JSON text) to conv_id, turn, role, text. What it can't read is in the
+    second table of ``read_records``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in W.pieces(batches):

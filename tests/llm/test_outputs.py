@@ -190,6 +190,42 @@ def test_layouts(spark):
     assert chat_format.canonical_turns(frame.limit(0)).count() == 0
 
 
+EXAMPLES = {
+    "turn_row": {"conv_id": 7, "turn": 4, "role": "user", "text": "t"},
+    "messages": {"messages": [{"role": "user", "content": "m"}]},
+    "from_value": {"conversations": [{"from": "human", "value": "v"}]},
+    "dialogue": {"dialog": [{"speaker": "bot", "text": "d"}]},
+    "instruction": {"instruction": "i", "output": "o"},
+    "instruction_input": {"instruction": "i", "input": "n", "output": "o"},
+    "prompt_completion": {"prompt": "p", "completion": "c"},
+    "prompt_response": {"prompt": "p", "response": "r"},
+    "question_answer": {"question": "q", "answer": "a"},
+}
+
+
+def test_layouts_with_fields_of_others(spark):
+    assert set(EXAMPLES) == set(chat_format.LAYOUTS)
+    turns = {name: chat_format.turns_of(json.dumps(r)) for name, r in EXAMPLES.items()}
+    sizes = {name: len(layout.paths) for name, layout in chat_format.LAYOUTS.items()}
+    fields = {**EXAMPLES["turn_row"], **EXAMPLES["instruction_input"], **EXAMPLES["prompt_completion"], "response": "r", **{k: v for n in ("messages", "from_value", "dialogue", "question_answer") for k, v in EXAMPLES[n].items()}}
+    records, want = [], []
+    for name, record in EXAMPLES.items():
+        for extra in [{k: v} for k, v in fields.items()] + list(EXAMPLES.values()):
+            both = {**extra, **record}
+            known = [n for n in EXAMPLES if EXAMPLES[n].keys() <= both.keys()]
+            assert name in known
+            best = max(known, key=lambda n: (sizes[n], -list(EXAMPLES).index(n)))
+            records.append((len(records), json.dumps(both)))
+            want += [(len(records) - 1, *t) for t in turns[best]]
+    n = len(records)
+    odd = [{"messages": [{"role": "u", "content": "c"}, "x"]}, {"messages[]": {"role": "u", "content": "c"}}, {**EXAMPLES["turn_row"], "turn": "4"}, {"prompt": "p", "text": "t"}, {"": EXAMPLES["question_answer"]}]
+    rows = records + [(n + i, json.dumps(r)) for i, r in enumerate(odd)] + [(n + 9, json.dumps({**odd[0], **EXAMPLES["question_answer"]}))]
+    read, unknown = chat_format.read_records(spark.createDataFrame(rows, "conv_id long, record string"))
+    want += [(n + 9, *t) for t in turns["question_answer"]]
+    assert sorted(tuple(r) for r in read.collect()) == sorted(want)
+    assert sorted(r.conv_id for r in unknown.collect()) == [n, n + 1, n + 2, n + 3, n + 4]
+
+
 def test_chats_read_back(spark):
     rnd = random.Random(5)
     hard = "\\### Assistant: </turn> ok"
