@@ -13,7 +13,10 @@ from tallycart.llm import (
     minhash_dedup,
     packing,
     quality_crf,
+    resample,
     secret_scan,
+    simhash,
+    spelling,
     substring_dedup,
     tiling,
     token_files,
@@ -233,3 +236,78 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     turns = chat_format.canonical_turns(records)
     return chat_format.read_chats(stage(chat_format.format_chats(turns), "chats"))
+
+
+def _crc32_sql(hex_text: str) -> str:
+    """DuckDB SQL for the unsigned crc32 of the bytes spelled by the hex string ``hex_text``."""
+    return f"""xor(list_reduce([4294967295::bigint] || list_transform(range(0, length({hex_text}), 2),
+        lambda i: ('0x' || substr({hex_text}, i + 1, 2))::bigint),
+      lambda c, b: list_reduce([xor(c, b)] || [0, 0, 0, 0, 0, 0, 0, 0], lambda e, z: xor(e >> 1, 3988292384 * (e & 1)))),
+      4294967295::bigint)"""
+
+
+_UP, _LO = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+@query(
+    "op11_spelling_variants",
+    f"""with recursive runs as (select doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z{chr(0xC0)}-{chr(0xFF)}]+')) as r
+      from documents),
+    low as (select doc_id, translate(r, '{_UP}', '{_LO}') as w from runs where length(r) >= 7),
+    hs as (select w, {_crc32_sql("x")} as h from (select w, hex(encode(doc_id::varchar || ':' || w)) as x from low)),
+    cut as (select case when h % 31 = 0 then substr(w, 1, (h % length(w))::int) || substr(w, (h % length(w))::int + 2)
+      else w end as w from hs),
+    words as (select w as word, count(*) as n from cut where length(w) >= 7 group by w having count(*) >= 2),
+    dels as (select word, n, i, substr(word, 1, i) || substr(word, i + 2) as d from words, range(length(word)) t(i)),
+    near as (select a.word as x, b.word as y, b.n as yn from dels a join dels b on a.i = b.i and a.d = b.d and a.word <> b.word
+      union select a.word, b.word, b.n from dels a join words b on a.d = b.word
+      union select b.word, a.word, a.n from dels a join words b on a.d = b.word),
+    best as (select x, count(*) as n_near, max(yn) as top_n, first(y order by yn desc, y) as top from near group by x),
+    res as (select w.word, w.n, coalesce(b.n_near, 0) as n_near,
+        case when b.top_n >= 10 * w.n then b.top end as form, case when b.top_n >= 10 * w.n then b.top_n end as form_n
+      from words w left join best b on w.word = b.x),
+    chain(word, root, depth) as (select word, word, 0 from res
+      union all select c.word, r.form, c.depth + 1 from chain c join res r on c.root = r.word where r.form is not null),
+    ends as (select word, arg_max(root, depth) as root from chain group by word)
+    select r.word, r.form, e.root, r.n::bigint as n, r.n_near::bigint as n_near, r.form_n::bigint as form_n
+    from res r join ends e using (word)""",
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+@query("op12_simhash_dedup")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), '" + _UP + "', '" + _LO + r"'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@query(
+    "op13_importance_resample",
+    f"""with d as (select row_number() over () as rid, doc_id, {_TERMS} as ws from documents),
+    bw as (select unnest({_TERMS}) as w from benchmark),
+    dw as (select rid, unnest(ws) as w from d),
+    vocab as (select distinct w from (select w from dw union all select w from bw)),
+    crc as (select w, {_crc32_sql("x")} % 10000 as k from (select w, hex(encode(w)) as x from vocab)),
+    s as (select k, count(*) as s from dw join crc using (w) group by k),
+    t as (select k, count(*) as t from bw join crc using (w) group by k),
+    tot as (select (select count(*) from dw)::double as big_s, (select count(*) from bw)::double as big_t),
+    g as (select r.range as k, floor(1000 * ln(((coalesce(t.t, 0) + 1)::double * (big_s + 10000))
+        / ((coalesce(s.s, 0) + 1)::double * (big_t + 10000)))) as gain
+      from range(10000) r left join s on s.k = r.range left join t on t.k = r.range, tot),
+    wt as (select rid, sum(gain) as weight from dw join crc using (w) join g using (k) group by rid),
+    sc as (select d.rid, d.doc_id, len(d.ws)::bigint as n_features, coalesce(wt.weight, 0) as weight,
+        coalesce(wt.weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || d.doc_id::varchar), 1, 8))::bigint + 0.5)
+          / 4294967296))) as score
+      from d left join wt using (rid)),
+    el as (select rid, row_number() over (order by score desc, doc_id) as rn from sc where n_features >= 20 and score is not null),
+    kk as (select count(*) * 10 // 100 as k from el)
+    select doc_id, n_features, weight::bigint as weight, score::bigint as score,
+      (case when rn <= k then rn end)::bigint as rank
+    from sc left join el using (rid), kk""",
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
