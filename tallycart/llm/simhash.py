@@ -3,7 +3,7 @@
 Fingerprint: A-Z lower-cased, words are runs of bytes other than the six ASCII
 white-space characters, shingles are all runs of ``SHINGLE`` words (repeats count), joined
 by one space; fewer words make one shingle of the whole sequence, no words none. Each
-shingle's XXH64 (seed 42, Spark's ``xxhash64``) votes for its set bits; a fingerprint bit is
+shingle's XXH64 (seed 42) votes for its set bits; a fingerprint bit is
 1 when over half of the shingles set it. No shingles: fingerprint zero.
 
 Links: a binary trie self-join. The distinct fingerprints are the leaves of a binary trie;
@@ -30,20 +30,25 @@ and ``text`` are read.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallycart.llm import words as W
+from tallycart.llm.batches import map_batches
 from tallycart.llm.components import components
 from tallycart.session import stage
 
 # Fixed values of the contract.
 SHINGLE = 3
+SEED = 42
 BUDGET = 2
 BITS = 64
-SPACE = r"[ \t\n\x0B\f\r]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 PARTS = 4
 STEP = 8
@@ -51,29 +56,39 @@ _WIDTH = BITS // PARTS
 _ORDERS = [(i, j, *[k for k in range(PARTS) if k not in (i, j)]) for i, j in combinations(range(PARTS), 2)]
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp) for every row of ``docs``; fp is a signed long holding the 64 bits."""
-    words = F.filter(F.split(F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER), SPACE), lambda w: w != "")
-    rows = docs.select(
-        F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_v"), F.hash("text").alias("_w"), words.alias("_ws")
-    )
-    last = F.size("_ws") - SHINGLE
-    shingles = F.when(F.size("_ws") == 0, F.array().cast("array<string>")).when(
-        last < 0, F.array(F.array_join("_ws", " "))
-    ).otherwise(F.transform(F.sequence(F.lit(0), last), lambda i: F.array_join(F.slice("_ws", i + 1, SHINGLE), " ")))
-    each = rows.select("_id", "_v", "_w", F.size(shingles).alias("_k"), F.explode_outer(shingles).alias("_s"))
-    each = each.select("_id", "_v", "_w", "_k", F.xxhash64("_s").alias("_h"), F.col("_s").isNotNull().alias("_has"))
-    votes = [F.sum(F.when(F.col("_has"), F.shiftright("_h", b).bitwiseAND(1)).otherwise(0)).alias(f"b{b}") for b in range(BITS)]
-    # Rows with equal id and text are one group: their votes add up alike, and each row
-    # gave max(1, k) exploded rows, so the group's row count comes back by division.
-    counted = each.groupBy("_id", "_v", "_w").agg(
-        F.sum(F.col("_has").cast("long")).alias("_n"), F.count("*").alias("_c"), F.max("_k").alias("_k"), *votes
-    )
-    fp = F.lit(0).cast("long")
+def _fingerprint(text: bytes | None) -> int:
+    """The fingerprint of one text, as a signed 64-bit value."""
+    words = (text or b"").lower().split()  # bytes: A-Z only, six white-space bytes
+    if not words:
+        return 0
+    if len(words) < SHINGLE:
+        shingles = [b" ".join(words)]
+    else:
+        shingles = [b" ".join(words[i : i + SHINGLE]) for i in range(len(words) - SHINGLE + 1)]
+    hashes = np.fromiter((xxhash.xxh64_intdigest(x, seed=SEED) for x in shingles), np.uint64, len(shingles))
+    votes = np.zeros(BITS, np.int64)
     for b in range(BITS):
-        fp = fp.bitwiseOR(F.when(2 * F.col(f"b{b}") > F.col("_n"), F.shiftleft(F.lit(1).cast("long"), b)).otherwise(0))
-    copies = F.sequence(F.lit(1), (F.col("_c") / F.greatest(F.lit(1), "_k")).cast("int"))
-    return counted.select(F.col("_id").alias("doc_id"), fp.alias("fp"), F.explode(copies).alias("_copy")).drop("_copy")
+        votes[b] = int(np.count_nonzero((hashes >> np.uint64(b)) & np.uint64(1)))
+    bits = (2 * votes > len(shingles)).astype(np.uint64)
+    value = int(np.bitwise_or.reduce(bits << np.arange(BITS, dtype=np.uint64)))
+    return value - (1 << BITS) if value >= 1 << (BITS - 1) else value
+
+
+def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in W.pieces(batches):
+        texts = W.utf8(batch.column("text"))
+        fps = [_fingerprint(t) for t in texts]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps, pa.int64())], ["doc_id", "fp"])
+
+
+def fingerprints(docs: DataFrame) -> DataFrame:
+    """(doc_id, fp) for every row of ``docs``; fp is a signed long holding the 64 bits.
+
+    Each text is read once inside its task: split, shingled, hashed and voted on in
+    one pass, so a very long text costs in proportion to its length.
+    """
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return map_batches(rows, _prints, "doc_id long, fp long")
 
 
 def _block(x: Column, k: int) -> Column:
@@ -120,7 +135,8 @@ def close_pairs(fps: DataFrame) -> DataFrame:
             .join(left, (F.col("p.o") == F.col("l.o")) & (F.col("p.a") == F.col("l.up")))
             .join(right, (F.col("p.o") == F.col("r.o")) & (F.col("p.b") == F.col("r.up")))
         )
-        d = F.col("p.d") + F.bit_count(F.col("l.kid").bitwiseXOR(F.col("r.kid")))
+        # Only the bits of this step: those above were counted on the way down.
+        d = F.col("p.d") + F.bit_count(F.col("l.kid").bitwiseXOR(F.col("r.kid")).bitwiseAND((1 << STEP) - 1))
         keep = (d <= BUDGET) & ((F.col("p.a") != F.col("p.b")) | (F.col("l.kid") <= F.col("r.kid")))
         pairs = stage(
             step.filter(keep).select(F.col("p.o").alias("o"), F.col("l.kid").alias("a"), F.col("r.kid").alias("b"), d.alias("d")),
