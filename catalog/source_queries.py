@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from catalog import sql as q
 from catalog.registry import Data, query
 from tallycart.functions import columns, decode, ratios
-from tallycart.operators import encoding, grains, sequences
+from tallycart.operators import encoding, grains, sequences, sessions
 from tallycart.plans import matrix as mx
 from tallycart.session import scratch_path
 from tallycart.sources import cleaning
@@ -375,6 +375,42 @@ def x_diff_seconds(d: Data):
     return whole.groupBy("user_id").agg((F.max("s") - F.min("s")).alias("seconds"))
 
 
+_EVENT_GAPS = """gaps as (select user_id, event_id, ts,
+      (epoch_us(ts) - epoch_us(lag(ts) over (partition by user_id order by ts, event_id))) / 1e6 as gap_seconds
+    from events where user_id is not null and ts is not null),
+  numbered as (select *, sum(case when gap_seconds > 43200 then 1 else 0 end)
+      over (partition by user_id order by ts, event_id rows unbounded preceding)::bigint as session_no from gaps)"""
+
+
+@query(
+    "w_event_sessions",
+    f"{_EVENT_GAPS} :: select user_id, event_id, gap_seconds, session_no from numbered",
+    ["gap_seconds"],
+)
+def w_event_sessions(d: Data):
+    """Every event with the seconds since its user's previous one and its session number (12-hour gap)."""
+    rows = sessions.timed_sessions(d.table("events"))
+    return rows.select("user_id", "event_id", "gap_seconds", "session_no")
+
+
+_SESSION_FEATURES = ["session_action_mean", "session_action_max", "session_duration_mean", "session_duration_max"]
+
+
+@query(
+    "b_event_sessions",
+    f"""{_EVENT_GAPS},
+  per_session as (select user_id, session_no, count(*) as n, epoch_us(max(ts)) - epoch_us(min(ts)) as us
+    from numbered group by user_id, session_no) ::
+    select user_id, count(*) as n_sessions, avg(n) as session_action_mean, max(n)::double as session_action_max,
+      round(avg(us)) / 1e6 as session_duration_mean, max(us) / 1e6 as session_duration_max
+    from per_session group by user_id""",
+    _SESSION_FEATURES,
+)
+def b_event_sessions(d: Data):
+    """Session features of every user on time stamps: sessions, their events and length in seconds."""
+    return sessions.user_session_features(d.table("events"))
+
+
 @query(
     "x_fill_missing",
     "select user_id, coalesce(age_range, -1) as age_range, coalesce(gender, 185) as gender from users",
