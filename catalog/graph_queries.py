@@ -285,7 +285,7 @@ def model_importance(d: Data):
 def model_fold_auc(d: Data):
     """The AUC of each fold; that of the hold-out part is computed once more by ranks."""
     model = _trained(d)
-    held = models.probability(model.model.transform(models.with_holdout(model.train).filter("is_valid")), "prob")
+    held = model.scored(model.holdout())
     held.select("prob", "label").createOrReplaceTempView("held_scores")
     by_rank = d.spark.sql(
         """with steps as (select prob, sum(label) as pos, sum(1 - label) as neg from held_scores group by prob),

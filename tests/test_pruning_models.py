@@ -179,10 +179,9 @@ def test_files_to_matrix(spark, tmp_path):
 def test_training_ends_after_the_patience_and_keeps_the_best_round(small_matrix):
     model = models.RepurchaseModel(small_matrix, models.BoostParams(depth=3, step=0.5, patience=3))
     model.fit(num_boost_round=40)
-    assert model.best_round == model.model.getNumTrees < 40
-    held = models.with_holdout(model.train).filter("is_valid").withColumn("weight", F.lit(1.0))
-    losses = model.model.evaluateEachIteration(held)
-    assert min(losses) == losses[-1]
+    assert model.best_round == len(model.model) < 40
+    assert len(model.losses) == model.best_round + 3
+    assert min(model.losses) == model.losses[model.best_round - 1]
 
 
 def test_labels_are_numbered_across_partitions(spark):
@@ -215,3 +214,14 @@ def test_scratch_is_dropped(spark, tmp_path, monkeypatch):
     assert any(tmp_path.rglob("*.parquet"))
     session.drop_scratch(spark)
     assert not any(tmp_path.rglob("*"))
+
+
+def test_first_trees_give_the_shorter_run(small_matrix):
+    vectors, _ = models.assemble(small_matrix.filter("origin = 'train'"))
+    booster = models.GBTClassifier(maxIter=12, maxDepth=3, stepSize=0.3, seed=1)
+    whole, short = booster.fit(vectors), booster.copy({booster.maxIter: 5}).fit(vectors)
+    cut = models.first_trees(whole, 5)
+    assert cut.getNumTrees == 5
+    a = [r.p for r in models.probability(cut.transform(vectors), "p").select("p").collect()]
+    b = [r.p for r in models.probability(short.transform(vectors), "p").select("p").collect()]
+    assert a == pytest.approx(b)
