@@ -6,8 +6,8 @@ punctuation and symbols (``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]``), features are
 bucket crc32(UTF-8) % ``BUCKETS``. Counts per bucket over the raw corpus (s, total S) and
 the target texts (t, total T) give each bucket the gain
 floor(1000 * ln((t + 1)(S + B) / ((s + 1)(T + B)))). The gains are one array of ``BUCKETS``
-doubles, a fixed size whatever the data, folded into the plan as a constant; a document's
-weight is the sum of the array at its features' buckets, computed in its own row.
+doubles, a fixed size whatever the data, broadcast as a table; a document's weight is the
+sum of the array at its features' buckets.
 
 Draw: a Gumbel key per document, floor(-1000 ln(-ln((h + 0.5) / 2**32))) with h the first
 32 bits of sha256(``<SEED>:<doc_id>``), is added to the weight (the Gumbel-max trick, so
@@ -83,27 +83,37 @@ def gains(raw: list[int], target: list[int]) -> list[float]:
 
 
 def scored(docs: DataFrame, target: DataFrame) -> DataFrame:
-    """(doc_id, n_features, weight, score, digest) for every row of ``docs``."""
+    """(doc_id, n_features, weight, score, digest) for every row of ``docs``.
+
+    Features are exploded and joined to the broadcast gain table, then added up per row;
+    rows equal in doc_id and text are one group, given back as often as they came.
+    """
     table = gains(bucket_counts(docs), bucket_counts(target))
-    # One string constant, split into the array once by constant folding.
-    array = F.split(F.lit(",".join(repr(g) for g in table)), ",").cast("array<double>")
+    # BUCKETS rows whatever the data: a broadcast of fixed size.
+    lookup = F.broadcast(docs.sparkSession.createDataFrame(list(enumerate(table)), "_b long, _g double"))
     feats = features(F.col("text"))
-    weight = F.aggregate(
-        F.transform(feats, lambda f: F.element_at(array, (_bucket(f) + 1).cast("int"))), F.lit(0.0), lambda a, g: a + g
+    # The list is made in its own projection: an expression beside the explode would be
+    # evaluated again for every exploded row.
+    rows = docs.select("doc_id", F.xxhash64("text").alias("digest"), F.hash("text").alias("_h"), feats.alias("_fs"))
+    each = rows.select("doc_id", "digest", "_h", F.size("_fs").alias("_k"), F.explode_outer("_fs").alias("_f"))
+    each = each.select("doc_id", "digest", "_h", "_k", _bucket(F.col("_f")).alias("_b")).join(lookup, "_b", "left")
+    per = each.groupBy("doc_id", "digest", "_h").agg(
+        F.coalesce(F.sum("_g"), F.lit(0.0)).alias("_w"), F.count("*").alias("_c"), F.max("_k").alias("_k")
     )
     h = F.conv(F.substring(F.sha2(F.concat(F.lit(f"{SEED}:"), F.col("doc_id").cast("string")), 256), 1, 8), 16, 10)
     u = (h.cast("double") + 0.5) / 4294967296.0
     gumbel = F.floor(-1000.0 * F.log(-F.log(u)))
-    out = docs.select(
+    # Equal rows added up their features alike: one row's weight is the sum over the copies.
+    per = per.withColumn("_n", (F.col("_c") / F.greatest(F.lit(1), "_k")).cast("int"))
+    per = per.withColumn("_w", F.col("_w") / F.col("_n"))
+    return per.select(
         "doc_id",
-        F.size(feats).cast("long").alias("n_features"),
-        weight.alias("_w"),
-        gumbel.alias("_g"),
-        F.xxhash64("text").alias("digest"),
-    )
-    return out.select(
-        "doc_id", "n_features", F.col("_w").cast("long").alias("weight"), (F.col("_w") + F.col("_g")).cast("long").alias("score"), "digest"
-    )
+        F.col("_k").cast("long").alias("n_features"),
+        F.col("_w").cast("long").alias("weight"),
+        (F.col("_w") + gumbel).cast("long").alias("score"),
+        "digest",
+        F.explode(F.sequence(F.lit(1), "_n")).alias("_copy"),
+    ).drop("_copy")
 
 
 def _key(row) -> tuple:

@@ -258,9 +258,3 @@ def test_resample_matches_brute_force(spark, make_docs, odd_docs, monkeypatch, f
 def test_resample_empty(spark, make_docs):
     target = spark.createDataFrame([(1, "a b")], "item_id long, text string")
     assert resample.resample(make_docs([]), target).count() == 0
-
-
-def test_gain_array_is_a_constant(spark, make_docs):
-    target = spark.createDataFrame([(1, "a b")], "item_id long, text string")
-    plan = resample.scored(make_docs([(1, "a b c")]), target)._jdf.queryExecution().optimizedPlan().toString()
-    assert "split(" not in plan
