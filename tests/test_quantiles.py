@@ -101,3 +101,19 @@ def test_nan_is_missing_and_infinity_a_value(spark):
     assert sorted(x for x in capped if x is not None) == [1.0, 2.0, 3.0, 4.0, 4.0] and capped.count(None) == 2
     bins = [r.x_bin for r in quantiles.bin_values(df, ["x"], 2).collect()]
     assert bins.count(None) == 2
+
+
+def test_a_frequent_value_ends_the_cutting(spark, monkeypatch):
+    """Many rare values below one frequent value: each cutting used to take off one of them."""
+    monkeypatch.setattr(quantiles, "SLOT_VALUES", 100)
+    calls = []
+    narrowed = quantiles._narrowed
+    monkeypatch.setattr(quantiles, "_narrowed", lambda *a: calls.append(1) or narrowed(*a))
+    rng = np.random.default_rng(11)
+    x = np.concatenate([rng.random(400), np.full(3000, 1.0), 1 + rng.random(2000)])
+    df = spark.createDataFrame([(float(v),) for v in rng.permutation(x)], "x double")
+    probs = [0.0, 0.06, 0.1, 0.5, 0.95, 1.0]
+    got = quantiles.order_statistics([(df, ["x"])], probs)["x"]
+    for p in probs:
+        assert got[p].value() == pytest.approx(np.quantile(x, p), rel=1e-12)
+    assert len(calls) <= 3
