@@ -16,11 +16,18 @@ from tallycart.operators.grains import is_action
 PAIR = ["user_id", "merchant_id"]
 # Sequence numbers per run when the order inside one day is followed.
 RUN_LENGTH = 1 << 16
+# Log rows for each task that sorts the days of users: day rows shrink so much in a
+# shuffle that parts chosen by their bytes there would be large in memory.
+TASK_ROWS = 500_000
 
 
-def day_gaps(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows per key and active day, and days since the key's previous active day."""
+def day_gaps(rows: DataFrame, keys: list[str], parts: int | None = None) -> DataFrame:
+    """Rows per key and active day, and days since the key's previous active day.
+
+    ``parts`` deals the keys over that many tasks.
+    """
     days = rows.filter(F.col("dt").isNotNull()).groupBy(*keys, "dt").agg(F.count("*").alias("rows"))
+    days = days if parts is None else days.repartition(parts, *keys)
     by_key = Window.partitionBy(*keys).orderBy("dt")
     return days.withColumn("gap_days", F.datediff("dt", F.lag("dt").over(by_key)))
 
@@ -150,7 +157,8 @@ def session_days(log: DataFrame, session_gap: float = 7) -> DataFrame:
     """Active days of a user numbered by session: a longer gap opens a new one."""
     by_user = Window.partitionBy("user_id").orderBy("dt")
     opens = F.coalesce((F.col("gap_days") > session_gap).cast("long"), F.lit(0))
-    return day_gaps(log, ["user_id"]).withColumn("session_id", F.sum(opens).over(by_user))
+    parts = -(-log.count() // TASK_ROWS) or 1
+    return day_gaps(log, ["user_id"], parts).withColumn("session_id", F.sum(opens).over(by_user))
 
 
 def sessions(log: DataFrame, session_gap: float = 7) -> DataFrame:

@@ -247,3 +247,13 @@ def test_join_keeps_the_matrix_rows_and_repeats_nothing(hot, make_matrix):
     assert stranger.um_click is None
     assert stranger.um_purchase_per_click == 0
     assert stranger.um_avg_cart_purchase_interval == -1
+
+
+def test_more_rows_are_dealt_over_more_tasks_for_sessions(spark, make_log, monkeypatch):
+    rows = [(u, 1, 1, 1, 1, (1 + d % 2, 1 + d), "click") for u in range(40) for d in range(20)]
+    log = make_log(rows)
+    whole = sorted(map(tuple, sequences.sessions(log).collect()))
+    monkeypatch.setattr(sequences, "TASK_ROWS", 100)
+    dealt = sequences.sessions(log)
+    assert dealt.rdd.getNumPartitions() == 8
+    assert sorted(map(tuple, dealt.collect())) == whole
