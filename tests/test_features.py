@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallycart.functions import decode, ratios
-from tallycart.operators import grains, sequences
+from tallycart.operators import grains, quantiles, sequences
 from tallycart.plans import families
 
 CLICK, CART, BUY, FAV = "click", "add-to-cart", "purchase", "add-to-favorite"
@@ -227,6 +227,59 @@ def test_grains_of_a_hot_key_equal_brute_force(hot):
     )
 
 
+@pytest.fixture(scope="module")
+def gappy(spark):
+    """A log with null keys, values, days and actions."""
+    rng = np.random.default_rng(5)
+
+    def some(high):
+        return [None if rng.random() < 0.15 else int(x) for x in rng.integers(0, high, 2000)]
+
+    days = [None if d is None else date(2016, 11, 1 + d) for d in some(25)]
+    actions = [None if a is None else list(grains.ACTIONS.values())[a] for a in some(4)]
+    columns = [some(7), some(5), some(30), some(6), some(4), days, actions]
+    names = ["user_id", "merchant_id", "item_id", "cat_id", "brand_id", "dt", "action_type"]
+    kinds = "user_id long, merchant_id long, item_id long, cat_id long, brand_id long, dt date, action_type string"
+    rows = list(zip(*columns))
+    return [dict(zip(names, r)) for r in rows], spark.createDataFrame(rows, kinds).repartition(4)
+
+
+@pytest.mark.parametrize("crowded, batch", [(10**9, 50), (10**9, 10**9), (0, 10**9), (280, 50)])
+def test_distinct_counts_with_nulls_equal_brute_force(gappy, monkeypatch, crowded, batch):
+    rows, log = gappy
+    monkeypatch.setattr(grains, "CROWDED", crowded)
+    monkeypatch.setattr(grains, "BATCH_ROWS", batch)
+
+    def known(keys, value, when=lambda r: True):
+        found = {tuple(r[k] for k in keys): set() for r in rows}
+        for r in rows:
+            if r[value] is not None and when(r):
+                found[tuple(r[k] for k in keys)].add(r[value])
+        return {k: len(v) for k, v in found.items()}
+
+    users = {(r.user_id,): r for r in grains.user_grain(log).collect()}
+    for column, value in (("u_iid", "item_id"), ("u_mid", "merchant_id"), ("u_active_days", "dt")):
+        assert {k: r[column] for k, r in users.items()} == known(["user_id"], value)
+    bought = known(["user_id"], "dt", lambda r: r["action_type"] == "purchase")
+    assert {k: r.u_purchase_days for k, r in users.items()} == bought
+    assert sum(r.u_purchase for r in users.values()) == sum(r["action_type"] == "purchase" for r in rows)
+    pairs = {(r.user_id, r.merchant_id): r.um_cid for r in grains.pair_grain(log).collect()}
+    assert pairs == known(["user_id", "merchant_id"], "cat_id")
+
+
+def test_distinct_counts_make_no_row_for_each_field(hot):
+    plan = grains.user_grain(hot[1])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and "Expand" not in plan
+
+
+def test_wide_projections_are_generated_in_parts(spark):
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+    wide = spark.range(20).selectExpr(*[f"cast(id as double) as c{i}" for i in range(20)])
+    fitted = quantiles.fit([(wide, wide.columns)])
+    quantiles.apply_fit(wide, fitted, wide.columns, wide.columns)
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
+
+
 def test_only_asked_for_columns_are_built(hot):
     _, log = hot
     assert grains.user_grain(log, ["u_iid"]).columns == ["user_id", "u_iid"]
