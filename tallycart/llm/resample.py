@@ -30,6 +30,7 @@ no document of ``LEAST_WORDS`` words, draws nothing. Only ``doc_id`` and ``text`
 
 from __future__ import annotations
 
+import json
 import math
 
 from pyspark.sql import Column, DataFrame, Window
@@ -157,13 +158,14 @@ def kth_key(cand: DataFrame, k: int, seed: int = 7) -> tuple:
         pivots = sorted({_key(r) for r in picked})
         if not pivots:
             continue
-        # gap i: below pivot i and above pivot i-1; (i, True): equal to pivot i
-        gap = F.lit(len(pivots))
-        for i in reversed(range(len(pivots))):
-            gap = F.when(_less(pivots[i]) | _equal(pivots[i]), i).otherwise(gap)
-        same = F.lit(False)
-        for p in pivots:
-            same = same | _equal(p)
+        # gap i: below pivot i and above pivot i-1; (i, True): equal to pivot i. The pivots are one
+        # literal array: a comparison written out for each makes code of a size that the
+        # driver needs hundreds of MB to compile.
+        kinds = ", ".join(f"{name}: {cand.schema[name].dataType.simpleString()}" for name in KEY)
+        edges = F.from_json(F.lit(json.dumps([dict(zip(KEY, p)) for p in pivots])), f"array<struct<{kinds}>>")
+        here = F.struct(*KEY)
+        gap = F.size(F.filter(edges, lambda p: p < here))
+        same = F.array_contains(edges, here)
         counts = {
             (r["g"], r["e"]): r["n"] for r in live.groupBy(gap.alias("g"), same.alias("e")).agg(F.count("*").alias("n")).collect()
         }

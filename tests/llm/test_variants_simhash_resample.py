@@ -258,3 +258,16 @@ def test_resample_matches_brute_force(spark, make_docs, odd_docs, monkeypatch, f
 def test_resample_empty(spark, make_docs):
     target = spark.createDataFrame([(1, "a b")], "item_id long, text string")
     assert resample.resample(make_docs([]), target).count() == 0
+
+
+def test_kth_key_compares_with_all_pivots_in_one_expression(spark, monkeypatch):
+    monkeypatch.setattr(resample, "FEW", 20)
+    rows = [((i * 37) % 50 - 25, i, 30, i * 7919) for i in range(200)]
+    cand = spark.createDataFrame(rows, "neg_score long, doc_id long, n_features long, digest long")
+    written, less = [], resample._less
+    monkeypatch.setattr(resample, "_less", lambda key: written.append(key) or less(key))
+    for k in (1, 77, 200):
+        written.clear()
+        assert resample.kth_key(cand, k) == sorted(rows)[k - 1]
+        # A comparison for each of the pivots made plans that took the driver's memory.
+        assert len(written) < 30
