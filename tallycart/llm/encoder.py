@@ -26,9 +26,9 @@ class Encoder:
 
     A byte-level tokenizer splits text at white space before it merges: a word with the
     one space or line feed before it always gives the same ids. Such units are encoded
-    once and remembered (at most ``limit`` of them, then all are forgotten). A text with
-    any other white space, or with an added token in it, is encoded as one piece, and so
-    is every text if the tokenizer is of another kind.
+    once and remembered (at most ``limit`` of them, besides those of the latest texts; those
+    not met for long go first). A text with any other white space, or with an added token in
+    it, is encoded as one piece, and so is every text if the tokenizer is of another kind.
     """
 
     def __init__(self, path: str, limit: int = 500_000):
@@ -67,7 +67,9 @@ class Encoder:
             return self._whole(text)
 
     def _whole(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind)
+        # Without the offsets and tokens that only ``encode`` keeps.
+        found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        return np.array(found[0].ids, self.kind)
 
     def _parts(self, text: str) -> list | None:
         if not self.by_units or any(t in text for t in self.added):
@@ -80,7 +82,7 @@ class Encoder:
             self.firsts[first] = self._whole(first).tobytes() if plain else None
         return [self.firsts[first], *map(self.units.__getitem__, rest)]
 
-    def _encode_units(self, at_once: int = 2_000) -> None:
+    def _encode_units(self, at_once: int = 200) -> None:
         """Fill in the units met for the first time, many in one call."""
         waiting, self.units.waiting = self.units.waiting, []
         for start in range(0, len(waiting), at_once):
@@ -100,19 +102,26 @@ class Encoder:
                 for (unit, place), text in zip(some, texts):
                     self.units[unit] = found = self._whole(text).tobytes()
                     place += found
-        if len(self.units) >= self.units.limit:
-            self.units.clear()
+        self.units.age()
 
 
 class _Units(dict):
-    """Ids of units; a new one gets an empty place that is filled in later, or None if irregular."""
+    """Ids of units; a new one gets an empty place that is filled in later, or None if irregular.
+
+    Once half of ``limit`` is held, all becomes ``older``; a unit met again comes back.
+    """
 
     def __init__(self, limit: int):
         super().__init__()
         self.limit = limit
+        self.older: dict[str, bytes | None] = {}
         self.waiting: list[tuple[str, bytearray]] = []
 
-    def __missing__(self, unit: str) -> bytearray | None:
+    def __missing__(self, unit: str) -> bytes | bytearray | None:
+        found = self.older.get(unit)
+        if found is not None:
+            self[unit] = found
+            return found
         word = unit[1:] if unit[:1] == "\n" else unit
         if not word or word[0].isspace() or word[-1].isspace():
             self[unit] = None
@@ -121,6 +130,12 @@ class _Units(dict):
         self.waiting.append((unit, place))
         return place
 
+    def age(self) -> None:
+        """Make room. No unit may be waiting."""
+        if 2 * len(self) >= self.limit:
+            self.older = dict(self)
+            self.clear()
+
 
 _KNOWN: dict[str, Encoder] = {}
 

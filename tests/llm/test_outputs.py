@@ -38,6 +38,17 @@ def test_encoder_equals_the_library(tokenizer, odd_docs):
             assert ids.tolist() == ids_of(tokenizer, text)[:-1]
 
 
+def test_encoder_keeps_the_units_it_meets_often(monkeypatch):
+    own, seen = encoder.Encoder(VOCABULARY, limit=20), []
+    whole = own._whole
+    monkeypatch.setattr(own, "_whole", lambda text: seen.append(text) or whole(text))
+    for i in range(60):
+        own.encode([f"a often {i}x"])
+    assert sum(text.count(" often") for text in seen) == 1
+    assert len(own.units) + len(own.units.older) <= 24
+
+
+
 def crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 
