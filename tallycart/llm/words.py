@@ -25,7 +25,7 @@ def utf8(column: pa.Array) -> list[bytes | None]:
 class WordHashes(dict):
     """64-bit hashes of words, remembered. Forgets everything once it holds ``limit``."""
 
-    def __init__(self, limit: int = 500_000):
+    def __init__(self, limit: int = 100_000):
         super().__init__()
         self.limit = limit
 
