@@ -40,7 +40,7 @@ def test_pipeline(spark, tokenizer):  # noqa: F811
 
 
 def test_registration():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(CHECKS) <= set(QUERIES) and len(corpus_pipeline.STAGES) == 5
 
 
