@@ -6,6 +6,7 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,6 +65,42 @@ def test_near_duplicates_of_large_groups(make_docs):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(docs)
 
 
+def test_near_duplicates_in_tiles(make_docs, monkeypatch):
+    """A large group, most of it not linked: dealt into parts, compared without a row for each pair."""
+    rnd = random.Random(6)
+    base = sentence(rnd, 150).split()
+    docs = []
+    for i in range(150):
+        own = list(base)
+        for _ in range(rnd.randrange(3, 14)):
+            own[rnd.randrange(len(own))] = f"z{rnd.randrange(10**6)}"
+        docs.append((i, " ".join(own)))
+    docs += [(200 + i, docs[i][1]) for i in range(20)] + [(3, None), (300, docs[3][1].upper()), (300, docs[4][1])]
+    for name, most in (("BUCKET", 16), ("FAMILY", 8), ("SPREAD", 4), ("LARGEST", 32)):
+        monkeypatch.setattr(minhash_dedup, name, most)
+    made = []
+    monkeypatch.setattr(minhash_dedup, "links", lambda *args, run=minhash_dedup.links: made.append(run(*args)) or made[0])
+    got = minhash_dedup.near_duplicates(make_docs(docs)).collect()
+    assert by_id(got) == brute_by_id(docs)
+    assert len({r.component_id for r in got}) > 20
+    assert made[0].count() <= 150 * (150 // 32)  # at most a row for each text and tile
+
+
+@pytest.mark.parametrize("cuts", [[4], [1, 1, 2, 3], [2, 5, 9], []])
+def test_groups_over_batches(cuts):
+    """Groups stay whole wherever the batches end."""
+    keys = [1, 1, 1, 2, 3, 3, 3, 3, 3, 4]
+    table = pa.table({"k": pa.array(keys, pa.int64()), "v": pa.array(range(10), pa.int64())})
+    ends = [0, *cuts, 10]
+    batches = [b for x, y in zip(ends, ends[1:]) for b in table.slice(x, y - x).combine_chunks().to_batches()]
+    groups = [
+        batch.column(1).to_pylist()[x:y]
+        for batch, bounds in minhash_dedup._whole(iter(batches), 1)
+        for x, y in zip(bounds, bounds[1:])
+    ]
+    assert groups == [[0, 1, 2], [3], [4, 5, 6, 7, 8], [9]]
+
+
 def test_near_duplicates_odd_tables(make_docs, odd_docs):
     rows = minhash_dedup.near_duplicates(make_docs([*odd_docs, (None, "no id")])).collect()
     assert len(rows) == len(odd_docs)
