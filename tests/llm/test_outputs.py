@@ -48,6 +48,22 @@ def test_encoder_keeps_the_units_it_meets_often(monkeypatch):
     assert len(own.units) + len(own.units.older) <= 24
 
 
+def test_encoder_looks_a_unit_up_once_for_many_texts():
+    asked = []
+
+    class Counting(encoder._Units):
+        def __getitem__(self, unit):
+            asked.append(unit)
+            return super().__getitem__(unit)
+
+    own = encoder.Encoder(VOCABULARY)
+    own.units = Counting(100)
+    found = own.encode(["a the cat the", "the the\nthe", None, "", "x the  the", "<|endoftext|> the"])
+    assert asked.count("the") == 1
+    assert [len(f) for f in found] == [4, 4, 0, 0, len(own._whole("x the  the")), 2]
+    assert own.encode([]) == []
+
+
 
 def crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
