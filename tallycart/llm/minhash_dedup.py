@@ -21,8 +21,8 @@ Pairs are never rows, so a large group costs rows in proportion to its members.
 still grow with its square: buckets of more than ``BUCKET`` members and families of more than
 ``FAMILY`` are dealt into parts, and every two parts meet in a task of their own (a tile), so no
 task holds a large group. A member's text goes to as many tiles as its family has other
-parts: ``SPREAD - 1`` at most below ``SPREAD * LARGEST`` members, more beyond that. No pair of a
-bucket goes unseen.
+parts: ``SPREAD - 1`` at most up to ``SPREAD * LARGEST`` members and ``SPREAD * SHINGLES``
+shingles, more beyond that. No pair of a bucket goes unseen.
 
 Nodes of buckets and families are 64-bit hashes of the classes' digests: among n classes two
 share one with a chance of n**2 / 2**65.
