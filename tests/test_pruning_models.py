@@ -225,3 +225,13 @@ def test_first_trees_give_the_shorter_run(small_matrix):
     a = [r.p for r in models.probability(cut.transform(vectors), "p").select("p").collect()]
     b = [r.p for r in models.probability(short.transform(vectors), "p").select("p").collect()]
     assert a == pytest.approx(b)
+
+
+def test_factor_blocks_follow_the_pairs(make_log, monkeypatch):
+    seen = []
+    set_blocks = graph.ALS.setNumBlocks
+    monkeypatch.setattr(graph.ALS, "setNumBlocks", lambda self, n: (seen.append(n), set_blocks(self, n))[1])
+    monkeypatch.setattr(graph, "BLOCK_PAIRS", 4)
+    log = make_log([(u, u % 3, 1, 1, 1, (5, 1), "click") for u in range(50)])
+    users, _ = graph.factorise_pairs(log, rank=2)
+    assert seen == [13] and users.count() == 50
